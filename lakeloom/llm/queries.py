@@ -10,6 +10,7 @@ from .common import table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .near_dedup import near_duplicates
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -22,6 +23,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("_hash", "_root")
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mix(docs)
@@ -29,7 +34,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op6_exact_dedup, op8_decontaminate, op10_mix)
+    for f in (op6_exact_dedup, op8_decontaminate, op9_near_duplicates, op10_mix)
 }
 
 SQL: dict[str, str] = {
