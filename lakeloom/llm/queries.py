@@ -11,11 +11,16 @@ from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .near_dedup import near_duplicates
+from .pii import find_pii
 from .toxicity import grade_documents
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,7 +44,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op5_toxicity, op6_exact_dedup, op8_decontaminate, op9_near_duplicates, op10_mix)
+    for f in (op3_pii, op5_toxicity, op6_exact_dedup, op8_decontaminate, op9_near_duplicates, op10_mix)
 }
 
 SQL: dict[str, str] = {
