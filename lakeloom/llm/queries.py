@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .language import identify
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .pii import find_pii
@@ -29,6 +30,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,7 +49,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_pii, op5_toxicity, op6_exact_dedup, op8_decontaminate, op9_near_duplicates, op10_mix)
+    for f in (op3_pii, op5_toxicity, op6_exact_dedup, op7_language, op8_decontaminate, op9_near_duplicates, op10_mix)
 }
 
 SQL: dict[str, str] = {
