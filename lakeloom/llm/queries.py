@@ -5,23 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language import identify
+from .licenses import scan_licenses
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .pii import find_pii
 from .toxicity import grade_documents
+from .url_filter import filter_urls
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumns({"licenses": F.array_join("licenses", ","), "differences": F.array_join("differences", " ")}).drop("spans")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,7 +61,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_pii, op5_toxicity, op6_exact_dedup, op7_language, op8_decontaminate, op9_near_duplicates, op10_mix)
+    for f in (op2_url_filter, op3_pii, op4_licenses, op5_toxicity, op6_exact_dedup, op7_language, op8_decontaminate, op9_near_duplicates, op10_mix)
 }
 
 SQL: dict[str, str] = {
