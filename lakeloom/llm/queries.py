@@ -15,12 +15,17 @@ from .licenses import scan_licenses
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .pii import find_pii
+from .substring_dedup import remove_repeats
 from .toxicity import grade_documents
 from .url_filter import filter_urls
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
@@ -61,7 +66,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_url_filter, op3_pii, op4_licenses, op5_toxicity, op6_exact_dedup, op7_language, op8_decontaminate, op9_near_duplicates, op10_mix)
+    for f in (op1_suffix_dedup, op2_url_filter, op3_pii, op4_licenses, op5_toxicity, op6_exact_dedup, op7_language, op8_decontaminate, op9_near_duplicates, op10_mix)
 }
 
 SQL: dict[str, str] = {
