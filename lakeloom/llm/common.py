@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark deletes a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -31,7 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: the lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # What the write shuffled is of no use once it is done; without this it would stay until the driver collects garbage.
+    kept = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, kept)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -40,5 +48,10 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def packed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """All columns of docs as one, `_row`, beside others: no name of theirs can clash. Select `_row.*` to get them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

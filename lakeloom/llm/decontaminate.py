@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, same, stored
+from .common import lower_ascii, packed, same, stored
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Identifies a row of documents, also where an id repeats or is null.
@@ -106,7 +106,9 @@ def occurrences(rows: DataFrame, windows: DataFrame, counts: DataFrame, block: i
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs in which no window of an item occurs, with all columns of docs."""
-    found = decontaminate(docs.withColumn("_row", F.struct(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"))).select("_row", F.col(text_col).alias("_text")), items, id_col="_row", text_col="_text", **how)
-    bad = found.where("contaminated").select(F.col("_row.i").alias("_bad_id"), F.col("_row.h").alias("_bad_hash")).distinct()
-    left = docs.join(bad, same(docs[id_col], bad["_bad_id"]) & (F.xxhash64(docs[text_col]) == bad["_bad_hash"]), "left")
-    return left.where(F.col("_bad_hash").isNull()).select(*[left[c] for c in docs.columns])
+    key = F.struct(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"))
+    found = decontaminate(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), items, id_col="_key", text_col="_text", **how)
+    bad = found.where("contaminated").select(F.col("_key.i").alias("_bad_id"), F.col("_key.h").alias("_bad_hash")).distinct()
+    own = packed(docs, F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"))
+    left = own.join(bad, same(F.col("_id"), F.col("_bad_id")) & (F.col("_hash") == F.col("_bad_hash")), "left")
+    return left.where(F.col("_bad_hash").isNull()).select("_row.*")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, same
+from .common import lower_ascii, packed, same
 
 #: What makes two texts equal.
 KEY = ["_digest", "_bytes", "_check"]
@@ -63,7 +63,10 @@ def merged(runs: DataFrame, key: list[str]) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose text no row with a larger id repeats, with all columns of docs."""
-    gone = exact_dedup(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_gone_id"), F.unhex("text_sha256").alias("_gone_digest")).distinct()
-    marked = docs.withColumn("_digest", digest_columns(F.col(text_col))[0])
-    left = marked.join(gone, same(marked[id_col], gone["_gone_id"]) & (marked["_digest"] == gone["_gone_digest"]), "left")
-    return left.where(F.col("_gone_digest").isNull()).select(*[left[c] for c in docs.columns])
+    told = exact_dedup(docs, id_col, text_col).groupBy(F.col(id_col).alias("_gone_id"), F.unhex("text_sha256").alias("_gone_digest")).agg(F.bool_or("kept").alias("_kept"))
+    gone = told.where(~F.col("_kept")).drop("_kept")
+    marked = packed(docs, F.col(id_col).alias("_id"), digest_columns(F.col(text_col))[0])
+    left = marked.join(gone, same(F.col("_id"), F.col("_gone_id")) & (F.col("_digest") == F.col("_gone_digest")), "left").where(F.col("_gone_digest").isNull())
+    # Rows that repeat an id and text have one that stays.
+    place = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy("_digest"))
+    return left.withColumn("_place", place).where(F.col("_place") == 1).select("_row.*")

@@ -6,18 +6,21 @@ played. That keeps every source within less than one block of its share at any t
 the schedule repeats after Q slots: one period is worked out on the driver from the weights alone (its size doesn't
 depend on the documents) and documents find their slot from their rank in their source by arithmetic.
 
-When a source runs out, its unused slots of that period close up, and from the next period on the others share the
-slots in proportion to their weights. No row is dropped or repeated.
+When a source runs out, a new phase begins with the next slot: the others share the slots in proportion to their
+weights. No row is dropped or repeated, and no slot stays empty.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import packed
+
 #: Sources with queues of their own; smaller ones beyond share one queue, so the tables that are broadcast stay bounded.
 MAX_LANES = 255
 #: Slots of a period before sources run out.
@@ -62,16 +65,18 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list[
     while left:
         q = {k: weights[k] for k in left}
         total = sum(q.values())
-        periods = min(-(-left[k] // q[k]) for k in left)
         pattern = one_period(q)
+        slot_of = lambda k, j: j // q[k] * total + pattern[k][j % q[k]]
+        # The phase ends with the first last block.
+        end = min(slot_of(k, left[k] - 1) for k in left) + 1
         for k in sorted(left):
-            take = min(left[k], periods * q[k])
+            take = end // total * q[k] + bisect_left(pattern[k], end % total)
             spans.append((k, n, done[k], done[k] + take, at, q[k], total))
             slots += [(k, n, i, s) for i, s in enumerate(pattern[k])]
             done[k] += take
             left[k] -= take
         left = {k: v for k, v in left.items() if v}
-        at += periods * total
+        at += end
         n += 1
     return spans, slots
 
@@ -79,8 +84,8 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list[
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block_docs: int = 16, temperature: float = 0.5) -> DataFrame:
     """All rows and columns of docs, with mix_phase, mix_slot, mix_order (long) and mix_lane (string) added.
 
-    Rows in the order of mix_order interleave the sources; mix_order is unique and has gaps where a block isn't full
-    or a source has run out. `weights` gives the share of each source; sources that it doesn't name get the least
+    Rows in the order of mix_order interleave the sources; mix_order is unique and has gaps where a block isn't
+    full. `weights` gives the share of each source; sources that it doesn't name get the least
     share named. Without it, shares are the row counts to the power of `temperature`. A null source is a source of
     its own. Within a source the order is that of a hash of the id, then the id; rows that repeat an id are told
     apart by their place in the input. Columns that the result adds replace columns of the same names. An empty
@@ -89,7 +94,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str
     spark = docs.sparkSession
     added = ["mix_phase", "mix_slot", "mix_order", "mix_lane"]
     docs = docs.drop(*added)
-    by_source = docs.groupBy(F.col(source_col).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    by_source = docs.groupBy(F.col(source_col).cast("string").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     sized = by_source.orderBy(F.desc("_n"), F.asc_nulls_first("_s")).limit(MAX_LANES).collect()
     named = {r["_s"]: r["_n"] for r in sized}
     rest = (by_source.agg(F.sum("_n").alias("n")).first()["n"] or 0) - sum(named.values())
@@ -105,13 +110,14 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str
     span_rows = spark.createDataFrame(spans, "_sl string, mix_phase long, _first long, _end long, _at long, _q long, _total long")
     slot_rows = spark.createDataFrame(slots, "_pl string, _pp long, _pk long, _slot long")
 
-    keyed = docs.join(F.broadcast(lanes), F.col(source_col).cast("string").eqNullSafe(F.col("_ls")), "left").drop("_ls")
-    keyed = keyed.withColumn("_lane", F.coalesce("_lane", F.lit(REST))).withColumn("_h", F.xxhash64(F.col(id_col)))
+    own = packed(docs, F.col(source_col).cast("string").alias("_source"), F.col(id_col).alias("_oid"), F.xxhash64(F.col(id_col)).alias("_h"))
+    keyed = own.join(F.broadcast(lanes), F.col("_source").eqNullSafe(F.col("_ls")), "left").drop("_ls")
+    keyed = keyed.withColumn("_lane", F.coalesce("_lane", F.lit(REST)))
     keyed = keyed.withColumn("_chunk", F.pmod("_h", F.lit(CHUNKS)))
     sizes = keyed.groupBy("_lane", "_chunk").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("_lane").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("_lane").alias("_ol"), F.col("_chunk").alias("_oc"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-    place = Window.partitionBy("_lane", "_chunk").orderBy("_h", F.col(id_col))
+    place = Window.partitionBy("_lane", "_chunk").orderBy("_h", "_oid")
     # At most (MAX_LANES + 1) * CHUNKS offsets of 24 bytes, whatever the input.
     ranked = keyed.withColumn("_in", F.row_number().over(place)).join(F.broadcast(offsets), (F.col("_lane") == F.col("_ol")) & (F.col("_chunk") == F.col("_oc")))
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_in") - 1)
@@ -122,7 +128,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str
     timed = timed.join(F.broadcast(slot_rows), (F.col("_lane") == F.col("_pl")) & (F.col("mix_phase") == F.col("_pp")) & (F.col("_k") == F.col("_pk")))
     slot = F.col("_at") + F.col("_period") * F.col("_total") + F.col("_slot")
     return timed.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        "_row.*",
         "mix_phase",
         slot.alias("mix_slot"),
         (slot * block_docs + F.col("_rank") % block_docs).alias("mix_order"),
