@@ -118,8 +118,8 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str
     before = Window.partitionBy("_lane").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("_lane").alias("_ol"), F.col("_chunk").alias("_oc"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
     place = Window.partitionBy("_lane", "_chunk").orderBy("_h", "_oid")
-    # At most (MAX_LANES + 1) * CHUNKS offsets of 24 bytes, whatever the input.
-    ranked = keyed.withColumn("_in", F.row_number().over(place)).join(F.broadcast(offsets), (F.col("_lane") == F.col("_ol")) & (F.col("_chunk") == F.col("_oc")))
+    # The rows are dealt by lane and chunk already, so this join moves only the offsets.
+    ranked = keyed.withColumn("_in", F.row_number().over(place)).join(offsets, (F.col("_lane") == F.col("_ol")) & (F.col("_chunk") == F.col("_oc")))
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_in") - 1)
     ranked = ranked.withColumn("_block", F.floor(F.col("_rank") / block_docs))
     timed = ranked.join(F.broadcast(span_rows), (F.col("_lane") == F.col("_sl")) & (F.col("_block") >= F.col("_first")) & (F.col("_block") < F.col("_end")))
