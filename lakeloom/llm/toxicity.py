@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 #: Labelled rows that the fit reads at most, by the order of a hash of the id.
 SAMPLE = 8000
 #: Prefix features at most, and the least log-likelihood ratio and number of toxic texts of each.
@@ -88,12 +90,12 @@ class ToxicityModel:
 
 
 def counted(texts: pd.Series) -> pd.DataFrame:
-    """Distinct features of each text with their counts, and the number of words."""
+    """Distinct features of each text with their counts, as bytes, and the number of words."""
     found, rows = Prefixes(), []
     for text in texts:
         own = words(text)
         c = Counter(x for w in own for x in found[w])
-        rows.append((list(c), list(c.values()), len(own)))
+        rows.append((np.fromiter(c, np.int32, len(c)).tobytes(), np.fromiter(c.values(), np.int32, len(c)).tobytes(), len(own)))
     return pd.DataFrame(rows, columns=["f", "c", "n"])
 
 
@@ -106,11 +108,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     chosen = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(toxic_col).alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-    count = F.pandas_udf(counted, "f array<int>, c array<int>, n int")
+    count = F.pandas_udf(counted, "f binary, c binary, n int")
     # At most `sample` labels are broadcast.
     got = texts.join(F.broadcast(chosen), "_id").select("_id", "_y", count("_t").alias("x")).select("_id", "_y", "x.*").collect()
     got.sort(key=lambda r: (r["_id"], r["n"]))
-    return fitted([(np.array(r["f"], np.int64), np.array(r["c"], float), r["n"]) for r in got], np.array([r["_y"] > 0 for r in got], bool))
+    return fitted([(np.frombuffer(r["f"], np.int32), np.frombuffer(r["c"], np.int32), r["n"]) for r in got], np.array([r["_y"] > 0 for r in got], bool))
 
 
 def fitted(rows: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, steps: int = 800, ridge: float = 1e-4) -> ToxicityModel:
@@ -132,8 +134,11 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, st
     k = len(best)
     model = ToxicityModel({int(f): i for i, f in enumerate(best)}, np.zeros(2 * k + 2), np.array([2.0, 4.0]))
     x, share = np.zeros((len(rows), 2 * k + 2), np.float32), np.zeros(len(rows))
+    is_best = np.zeros(SPACE, bool)
+    is_best[best] = True
     for i, (f, c, n_words) in enumerate(rows):
-        own = [(a, b) for a, b in zip(f.tolist(), c.tolist(), strict=True) if a in model.columns]
+        mine = is_best[f]
+        own = list(zip(f[mine].tolist(), c[mine].tolist(), strict=True))
         if own:
             at, value, hits = model.vector([a for a, _ in own], [b for _, b in own], n_words)
             x[i, at] = value
@@ -180,4 +185,5 @@ def grade_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """The rows of docs that aren't rejected, with all columns of docs."""
     model = fit_toxicity(docs, labels, id_col, text_col, sample=sample)
-    return docs.withColumn("_rejected", toxicity(F.col(text_col), model)["rejected"]).where(~F.col("_rejected")).select(*docs.columns)
+    graded = packed(docs, toxicity(F.col(text_col), model)["rejected"].alias("_rejected"))
+    return graded.where(~F.col("_rejected")).select("_row.*")
