@@ -33,6 +33,8 @@ from .suffix_sort import KEY, anchors, common_prefixes, deep_shallow, key_of
 
 #: Different contexts of a key that are sorted in one task.
 HOT = 65_536
+#: Contexts that are compared pair by pair after sorting.
+PAIRS = 48
 #: Texts of an Arrow batch that are worked on at once.
 TEXTS = 256
 
@@ -182,23 +184,65 @@ def runs_of(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, in
         before[i, : lefts[i]] = own[: lefts[i]][::-1]
     order_a, order_b = deep_shallow(after, rights), deep_shallow(before, lefts)
     lcp_a, lcp_b = common_prefixes(after, rights, order_a), common_prefixes(before, lefts, order_b)
-    class_a, class_b = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
     many = np.array([g[2] > 1 for g in group])
-    dup = np.zeros((len(group), reach + 1), bool)
-    for o in range(reach + 1):
-        fits = (lefts >= o) & (rights >= length - o)
-        class_a[order_a[1:]] = np.cumsum(lcp_a < length - o)
-        class_b[order_b[1:]] = np.cumsum(lcp_b < o)
-        class_a[order_a[0]] = class_b[order_b[0]] = 0
-        both = (class_a * len(group) + class_b)[fits]
-        _, back, count = np.unique(both, return_inverse=True, return_counts=True)
-        dup[fits, o] = (count[back] > 1) | many[fits]
-    for g, row in zip(group, dup, strict=True):
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], row.view(np.int8), [0]])))
+    # The longest agreement with any other context is that with a neighbour; without `length` in sum there is no partner.
+    most = neighbours(order_a, lcp_a) + neighbours(order_b, lcp_b)
+    for i in np.flatnonzero(many & (lefts + rights >= length)).tolist():
+        yield group[i][0], group[i][1], -int(lefts[i]), int(rights[i])
+    alive = most >= length
+    if not (alive & ~many).any():
+        return
+    order_a, lcp_a = among(order_a, lcp_a, alive)
+    order_b, lcp_b = among(order_b, lcp_b, alive)
+    which = np.flatnonzero(alive)
+    lefts, rights, many = lefts[which], rights[which], many[which]
+    dup = np.zeros((len(which), reach + 1), bool)
+    if len(which) <= PAIRS:
+        r, le = pairwise(order_a, lcp_a), pairwise(order_b, lcp_b)
+        for i, j in np.argwhere(np.triu(r + le >= length, 1)).tolist():
+            dup[[i, j], length - r[i, j] : le[i, j] + 1] = True
+    else:
+        class_a, class_b = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
+        for o in range(max(0, length - int(lcp_a.max())), min(reach, int(lcp_b.max())) + 1):
+            class_a[order_a[1:]] = np.cumsum(lcp_a < length - o)
+            class_b[order_b[1:]] = np.cumsum(lcp_b < o)
+            class_a[order_a[0]] = class_b[order_b[0]] = 0
+            fits = np.flatnonzero((lefts >= o) & (rights >= length - o))
+            _, back, count = np.unique((class_a * len(which) + class_b)[fits], return_inverse=True, return_counts=True)
+            dup[fits, o] = count[back] > 1
+    for i in np.flatnonzero(~many & dup.any(axis=1)).tolist():
+        g = group[which[i]]
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], dup[i].view(np.int8), [0]])))
         for a, b in edges.reshape(-1, 2).tolist():  # starts from b-1 to a bytes before the anchor
             yield g[0], g[1], -(b - 1), length - a
 
 
+def neighbours(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """The longest agreement of each row with any other."""
+    out = np.zeros(len(order), np.int64)
+    out[order[1:]] = lcp
+    out[order[:-1]] = np.maximum(out[order[:-1]], lcp)
+    return out
+
+
+def among(order: np.ndarray, lcp: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the rows that are alive, renumbered, and their common prefixes: the least over those between."""
+    at = np.flatnonzero(alive[order])
+    number = np.cumsum(alive) - 1
+    return number[order[at]], np.minimum.reduceat(lcp[: at[-1]], at[:-1])
+
+
+def pairwise(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """The common prefix of every two of few rows: the least over those between them in order."""
+    n = len(order)
+    out = np.zeros((n, n), np.int64)
+    for i in range(n - 1):
+        reach = np.minimum.accumulate(lcp[i:])
+        out[order[i], order[i + 1 :]] = reach
+        out[order[i + 1 :], order[i]] = reach
+    return out
+
+
 def runs_of_two(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, int]]:
     (_, _, _, l1, d1), (_, _, _, l2, d2) = group
     r = agreement(d1[l1:], d2[l2:])
@@ -227,8 +271,10 @@ def counted_runs(entries: DataFrame, length: int) -> DataFrame:
             yield table("_key _whole _n _o _w", *(([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))))
 
     each = entries.mapInArrow(windows, "_key long, _whole long, _n long, _o int, _w binary")
-    twice = each.groupBy("_w").agg(F.sum("_n").alias("_s")).where(F.col("_s") > 1).select("_w")
-    return each.join(twice, "_w").select("_key", "_whole", (-F.col("_o")).alias("_lo"), (F.lit(length) - F.col("_o")).alias("_hi"))
+    # A string may be within reach of several anchors, so it is counted for each key and distance by itself.
+    same_place = ["_key", "_o", "_w"]
+    twice = each.groupBy(*same_place).agg(F.sum("_n").alias("_s")).where(F.col("_s") > 1).select(*same_place)
+    return each.join(twice, same_place).select("_key", "_whole", (-F.col("_o")).alias("_lo"), (F.lit(length) - F.col("_o")).alias("_hi"))
 
 
 def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

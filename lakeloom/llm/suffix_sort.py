@@ -12,6 +12,8 @@ import xxhash
 
 #: Bytes that multikey quicksort compares before a group goes to a blind trie.
 SHALLOW = 64
+#: Parts of so few suffixes are sorted by comparison.
+SMALL = 12
 #: Bytes of an anchor's key and of the gram that makes it an anchor.
 KEY, GRAM = 50, 16
 
@@ -104,8 +106,8 @@ def deep_shallow(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     todo = [(np.arange(len(rows)), 0)]
     while todo:
         which, w = todo.pop()
-        if len(which) == 1:
-            out.append(int(which[0]))
+        if len(which) <= SMALL:
+            out += sorted(which.tolist(), key=lambda i: rows[i, : lengths[i]].tobytes())
         elif w == words.shape[1] or lengths[which].min() < 8 * (w + 1):
             # Deep enough, or a row ends within this word.
             out += blind_trie(rows, lengths, which.tolist(), 8 * w)
