@@ -7,8 +7,9 @@
    probability (1 - s**4)**32: 6e-11 at 0.85 and 5e-8 at 0.8.
 3. In every bucket each class is paired with the smallest one. Pairs whose collision-corrected estimate is within
    reach of the threshold are confirmed on the full sets, and linked classes get a first component.
-4. Buckets that still hold several components have their members from different components paired, in blocks of
-   bounded size, and confirmed alike: no link between components is lost, and no pair within one is needed.
+4. Classes joined by buckets that still hold several components form a cluster. It is cut into blocks of bounded
+   size, and each two blocks meet in one task, which compares the full sets of all members of different components
+   and returns only as many links as join them: no link between components is lost, and no pair becomes a row.
 5. A component takes the smallest id of its documents.
 
 Texts travel once to the hubs they are compared with; hubs of many pairs are dealt out over several tasks, which
@@ -26,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import same, stored
+from .common import packed, same, stored
 from .components import connected
 from .shingles import BANDS, REGISTERS, WordHashes, band_keys, corrected, digest, shingle_set, signature
 
 #: An estimate of less than the threshold by this is four standard deviations off at 128 registers, or more.
 SLACK = 0.15
-#: Pairs of one hub in a task, and members of a bucket compared in one block.
-HUB_PAIRS, BLOCK = 2048, 1024
+#: Pairs of one hub in a task, and members of one of the two blocks that a task compares.
+HUB_PAIRS, BLOCK = 2048, 512
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
@@ -65,19 +66,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = first.join(signed, "_node").join(signed.select(F.col("_node").alias("_hub"), F.col("_n").alias("_hn"), F.col("_sig").alias("_hsig")), "_hub")
     floor = percent / 100 - SLACK
     first = first.where(F.pandas_udf(estimated, "double")("_sig", "_hsig", "_n", "_hn") >= floor).select("_hub", "_node")
-    links = confirmed(first, texts, width, percent)
+    links = confirmed(stored(first, "pairs"), texts, width, percent)
     roots = connected(links, "_hub", "_node")
 
     placed = shared.join(roots.withColumnsRenamed({"node": "_node", "root": "_root"}), "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
+    placed = stored(placed.select("_key", "_hub", "_node", "_root"), "placed")
     open_ = placed.groupBy("_key").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where(F.col("_lo") != F.col("_hi")).select("_key")
-    members = placed.join(open_, "_key").join(signed, "_node")
-    parts = F.ceil(F.col("_c") / BLOCK).cast("int")
-    own = F.pmod(F.hash("_node"), parts)
-    pairs_of = F.explode(F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"))))
-    blocks = members.withColumn("_own", own).withColumn("_b", pairs_of).select("_key", F.col("_b.i").alias("_i"), F.col("_b.j").alias("_j"), "_own", "_node", "_root", "_n", "_sig")
-    blocks = blocks.repartition("_key", "_i", "_j").sortWithinPartitions("_key", "_i", "_j")
-    rest = blocks.mapInPandas(lambda frames: crossing(frames, floor), "_hub binary, _node binary").distinct()
-    more = confirmed(rest, texts, width, percent)
+    near = placed.join(open_, "_key").select("_hub", "_node").distinct()
+    # Classes that buckets join are one cluster, whatever their components; each goes to its cluster once.
+    clusters = connected(near, "_hub", "_node")
+    clusters = clusters.union(clusters.select("root", "root").distinct()).toDF("_node", "_cluster")
+    parts = clusters.groupBy("_cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_parts"))
+    members = clusters.join(parts, "_cluster").join(placed.select("_node", "_root").distinct(), "_node").join(texts, "_node")
+    own = F.pmod(F.hash("_node"), F.col("_parts"))
+    pairs_of = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda j: F.struct(F.least("_own", j).alias("i"), F.greatest("_own", j).alias("j"))))
+    blocks = members.withColumn("_own", own).withColumn("_b", pairs_of).select("_cluster", F.col("_b.i").alias("_i"), F.col("_b.j").alias("_j"), "_own", "_node", "_root", "_text")
+    blocks = blocks.repartition("_cluster", "_i", "_j").sortWithinPartitions("_cluster", "_i", "_j")
+    more = stored(blocks.mapInArrow(lambda batches: crossing(batches, width, percent), "_hub binary, _node binary"), "links")
     ends = connected(roots.select(F.col("root").alias("_hub"), F.col("node").alias("_node")).union(more), "_hub", "_node")
 
     named = classes.select("_node", "_least").join(ends.withColumnRenamed("node", "_node"), "_node", "left").withColumn("root", F.coalesce("root", "_node"))
@@ -147,42 +152,62 @@ def compared(batches: Iterable[pa.RecordBatch], width: int, percent: int) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["_hub", "_node"])
 
 
-def crossing(frames: Iterable[pd.DataFrame], floor: float) -> Iterator[pd.DataFrame]:
-    """Pairs of a block from different components whose estimate is in reach; each from the first band it shares."""
-    held: list[pd.DataFrame] = []
-    at = None
-    for frame in frames:
-        for key, part in frame.groupby(["_key", "_i", "_j"], sort=False):
-            if key != at and held:
-                yield pairs_within(pd.concat(held), floor)
+def crossing(batches: Iterable[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come by cluster and block; links between its components, as many as it takes to join them."""
+    hashes = WordHashes()
+    held: list[tuple] = []
+    for batch in batches:
+        out: list[tuple[bytes, bytes]] = []
+        for *at, own, node, root, text in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+            if held and held[0][0] != at:
+                out += links_within(held, percent)
                 held = []
-            at = key
-            held.append(part)
+            held.append((at, own, node, root, shingle_set(text, width, hashes)))
+        yield as_pairs(out)
     if held:
-        yield pairs_within(pd.concat(held), floor)
+        yield as_pairs(links_within(held, percent))
+
+
+def as_pairs(out: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["_hub", "_node"])
+
+
+def links_within(block: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
+    (_, i, j), n = block[0][0], len(block)
+    own, sizes = np.array([b[1] for b in block]), np.array([len(b[4]) for b in block])
+    _, group = np.unique(np.array([b[3] for b in block], object), return_inverse=True)
+    _, column, times = np.unique(np.concatenate([b[4] for b in block]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    # Only shingles of two members or more count for an intersection.
+    place = np.cumsum(times > 1) - 1
+    row, column = row[times[column] > 1], place[column[times[column] > 1]]
+    both = np.zeros((n, n), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [lo, lo + 4096])
+        has = np.zeros((n, 4096), np.float32)
+        has[row[a:b], column[a:b] - lo] = 1
+        both += has @ has.T
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    linked &= group[:, None] != group[None, :]
+    if i != j:
+        linked &= own[:, None] != own[None, :]
+    parent = list(range(int(group.max()) + 1))
+    out: list[tuple[bytes, bytes]] = []
 
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
-def pairs_within(block: pd.DataFrame, floor: float) -> pd.DataFrame:
-    key, i, j = (block[c].iloc[0] for c in ("_key", "_i", "_j"))
-    block = block.drop_duplicates("_node").sort_values("_node", ignore_index=True)
-    regs = registers(block["_sig"])
-    keys = band_keys(regs)
-    n, own = block["_n"].to_numpy(float), block["_own"].to_numpy()
-    _, root = np.unique(block["_root"].to_numpy(), return_inverse=True)
-    out: list[tuple[bytes, bytes]] = []
-    for x in range(len(block) - 1):
-        other = np.arange(x + 1, len(block))
-        other = other[root[other] != root[x]]
-        if i != j:
-            other = other[own[other] != own[x]]
-        if not len(other):
-            continue
-        near = other[corrected((regs[other] == regs[x]).sum(axis=1), n[other], np.full(len(other), n[x])) >= floor]
-        agree = keys[near] == keys[x]
-        first = agree.argmax(axis=1)
-        near = near[keys[x][first] == key]
-        out += [(block["_node"][x], block["_node"][y]) for y in near]
-    return pd.DataFrame(out, columns=["_hub", "_node"])
+    for x, y in np.argwhere(np.triu(linked)).tolist():
+        a, b = top(group[x]), top(group[y])
+        if a != b:
+            parent[a] = b
+            out.append((block[x][2], block[y][2]))
+    return out
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -190,7 +215,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = near_duplicates(docs, id_col, text_col, width, percent)
     # One row stands for a component also where an id or a whole row repeats.
     one = found.where("kept").groupBy(F.col(id_col).alias("_i"), "_root", F.when(F.col("n_shingles") == 0, F.col("_hash")).alias("_bare")).agg(F.min("_hash").alias("_h")).select("_i", "_h")
-    met = docs.withColumn("_hash", F.xxhash64(text_col))
-    met = met.join(one, same(met[id_col], one["_i"]) & (met["_hash"] == one["_h"]))
+    own = packed(docs, F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"))
+    met = own.join(one, same(F.col("_id"), F.col("_i")) & (F.col("_hash") == F.col("_h")))
     order = F.row_number().over(Window.partitionBy("_i", "_h").orderBy("_h"))
-    return met.withColumn("_first", order).where(F.col("_first") == 1).select(*[met[c] for c in docs.columns])
+    return met.withColumn("_first", order).where(F.col("_first") == 1).select("_row.*")
