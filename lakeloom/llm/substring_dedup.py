@@ -18,7 +18,6 @@ Rows are named by a 64-bit hash of id and text; wherever a name meets a text, th
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -29,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .suffix_sort import KEY, anchors, common_prefixes, deep_shallow, key_of
+from .suffix_sort import KEY, anchors, common_prefixes, deep_shallow, keys_of
 
 #: Different contexts of a key that are sorted in one task.
 HOT = 65_536
 #: Contexts that are compared pair by pair after sorting.
-PAIRS = 48
+PAIRS = 160
 #: Texts of an Arrow batch that are worked on at once.
 TEXTS = 256
 
@@ -58,12 +57,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     long_ = rows.where(F.octet_length("_text") >= length)
 
     found = long_.select("_ref", "_text").mapInArrow(lambda b: anchored(b, length), "_ref long, _key long, _pos int")
-    twice = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_key")
+    twice = stored(found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_key"), "keys")
     shared = stored(found.join(twice, "_key").select("_ref", "_key", "_pos"), "anchors")
-    released(docs)
     of_ref = shared.distinct().groupBy("_ref").agg(F.collect_list(F.struct("_pos", "_key")).alias("_at"))
+    of_ref = of_ref.select("_ref", F.transform("_at", lambda x: x["_pos"]).alias("_at"), F.transform("_at", lambda x: x["_key"]).alias("_keys"))
     texts = stored(long_.select("_ref", "_text").join(of_ref, "_ref"), "texts")
-    released(docs)
 
     contexts = texts.mapInArrow(lambda b: in_context(b, length), "_key long, _whole long, _left int, _bytes binary")
     entries = contexts.groupBy("_key", "_whole").agg(F.count(F.lit(1)).alias("_n"), F.first("_left").alias("_left"), F.first("_bytes").alias("_bytes"))
@@ -76,7 +74,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not hot.isEmpty():
         runs = runs.union(counted_runs(entries.join(hot, "_key", "left_semi"), length))
     runs = stored(runs, "runs")
-    released(docs)
 
     places = texts.mapInArrow(lambda b: places_of(b, length), "_ref long, _pos int, _key long, _whole long")
     spans = places.join(runs, ["_key", "_whole"]).select("_ref", (F.col("_pos") + F.col("_lo")).alias("lo"), (F.col("_pos") + F.col("_hi")).alias("hi"))
@@ -89,12 +86,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("_id").alias(id_col), F.col("_bytes").alias("n_bytes"), F.coalesce("_removed", zero).alias("n_removed"), F.coalesce("_n_spans", zero).alias("n_spans"), F.coalesce("_sha", "_whole_sha").alias("kept_sha256"))
 
 
-def released(df: DataFrame) -> None:
-    """Lets Spark delete the shuffle files of finished steps, which it does when their plans are collected."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-
-
 def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, TEXTS):
@@ -113,9 +104,9 @@ def anchored(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             at = anchors(data, length)
             refs.append(np.full(len(at), ref, np.int64))
             places.append(at.astype(np.int32))
-            keys += [key_of(data, a) for a in at.tolist()]
+            keys.append(keys_of(data, at))
         if refs:
-            yield table("_ref _key _pos", (np.concatenate(refs), pa.int64()), (keys, pa.int64()), (np.concatenate(places), pa.int32()))
+            yield table("_ref _key _pos", (np.concatenate(refs), pa.int64()), (np.concatenate(keys), pa.int64()), (np.concatenate(places), pa.int32()))
 
 
 def context(data: bytes, at: int, length: int) -> tuple[int, int, bytes]:
@@ -127,9 +118,16 @@ def context(data: bytes, at: int, length: int) -> tuple[int, int, bytes]:
 
 def valid(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, list[tuple[int, int]]]]:
     """(ref, text, [(position, key)]), without positions of another text of the same name."""
-    for ref, text, at in zip(*(batch.column(c).to_pylist() for c in ("_ref", "_text", "_at")), strict=True):
-        data = utf8(text)
-        yield ref, data, [(x["_pos"], x["_key"]) for x in at if key_of(data, x["_pos"]) == x["_key"]]
+    lists = batch.column(batch.schema.get_field_index("_at"))
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+    all_at = lists.flatten().to_numpy(zero_copy_only=False)
+    all_keys = batch.column(batch.schema.get_field_index("_keys")).flatten().to_numpy(zero_copy_only=False)
+    start = 0
+    for ref, text, end in zip(batch.column(batch.schema.get_field_index("_ref")).to_pylist(), batch.column(batch.schema.get_field_index("_text")).to_pylist(), ends.tolist(), strict=True):
+        data, at, keys = utf8(text), all_at[start:end].astype(np.int64), all_keys[start:end]
+        fit = keys_of(data, at) == keys
+        yield ref, data, list(zip(at[fit].tolist(), keys[fit].tolist(), strict=True))
+        start = end
 
 
 def in_context(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -199,8 +197,12 @@ def runs_of(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, in
     dup = np.zeros((len(which), reach + 1), bool)
     if len(which) <= PAIRS:
         r, le = pairwise(order_a, lcp_a), pairwise(order_b, lcp_b)
-        for i, j in np.argwhere(np.triu(r + le >= length, 1)).tolist():
-            dup[[i, j], length - r[i, j] : le[i, j] + 1] = True
+        first, second = np.nonzero(r + le >= length)
+        # Of each pair, distances from length-r to l: one more begins, one fewer after the last.
+        wide, size = reach + 2, len(which) * (reach + 2)
+        begun = np.bincount(first * wide + length - r[first, second], minlength=size)
+        over = np.bincount(first * wide + le[first, second] + 1, minlength=size)
+        dup = np.cumsum((begun - over).reshape(-1, wide), axis=1)[:, :-1] > 0
     else:
         class_a, class_b = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
         for o in range(max(0, length - int(lcp_a.max())), min(reach, int(lcp_b.max())) + 1):
@@ -210,11 +212,13 @@ def runs_of(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, in
             fits = np.flatnonzero((lefts >= o) & (rights >= length - o))
             _, back, count = np.unique((class_a * len(which) + class_b)[fits], return_inverse=True, return_counts=True)
             dup[fits, o] = count[back] > 1
-    for i in np.flatnonzero(~many & dup.any(axis=1)).tolist():
-        g = group[which[i]]
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], dup[i].view(np.int8), [0]])))
-        for a, b in edges.reshape(-1, 2).tolist():  # starts from b-1 to a bytes before the anchor
-            yield g[0], g[1], -(b - 1), length - a
+    dup[many] = False
+    padded = np.zeros((len(which), reach + 3), np.int8)
+    padded[:, 1:-1] = dup
+    row, edge = np.nonzero(np.diff(padded, axis=1))
+    for i, a, b in zip(which[row[::2]].tolist(), edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        # Starts from b-1 to a bytes before the anchor.
+        yield group[i][0], group[i][1], -(b - 1), length - a
 
 
 def neighbours(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:

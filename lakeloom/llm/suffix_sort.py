@@ -8,7 +8,6 @@ the rest of the sort.
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
 #: Bytes that multikey quicksort compares before a group goes to a blind trie.
 SHALLOW = 64
@@ -47,57 +46,65 @@ def anchors(data: bytes, length: int) -> np.ndarray:
     return np.flatnonzero(sliding(padded, width, np.maximum, 0)[: len(h)] == h)
 
 
-def key_of(data: bytes, at: int) -> int:
-    return xxhash.xxh3_64_intdigest(data[at : at + KEY]) - (1 << 63)
+def keys_of(data: bytes, at: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the KEY bytes from each position; 0 where there aren't so many."""
+    out = np.zeros(len(at), np.int64)
+    fit = np.flatnonzero((at >= 0) & (at <= len(data) - KEY))
+    if not len(fit):
+        return out
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    h = np.full(len(fit), KEY, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in [*range(0, KEY - 7, 8), KEY - 8]:
+            h = (h ^ words[at[fit] + i]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    out[fit] = h.view(np.int64)
+    return out
 
 
 def blind_trie(rows: np.ndarray, lengths: np.ndarray, which: list[int], depth: int) -> list[int]:
     """`which`, sorted by the bytes from `depth` on; all agree before it. A row's end sorts before any byte."""
-    data = {i: rows[i, : lengths[i]].tobytes() for i in which}
-    byte = lambda i, d: data[i][d] if d < len(data[i]) else -1
-    root = [which[0]]  # a leaf is a list of equal rows; an inner node is (depth, {byte: child})
-    for i in which[1:]:
-        node = root
+    of: dict[bytes, list[int]] = {}
+    for i in which:
+        of.setdefault(rows[i, depth : max(depth, lengths[i])].tobytes(), []).append(i)
+    if len(of) <= SMALL:
+        return [i for text in sorted(of) for i in of[text]]
+    texts = iter(of)
+    root: bytes | tuple = next(texts)  # a leaf is a text; an inner node is (depth, {byte: child})
+    for own in texts:
+        n, node = len(own), root
         while isinstance(node, tuple):
-            node = node[1].get(byte(i, node[0])) or next(iter(node[1].values()))
-        other = data[node[0]]
-        d, end = depth, min(len(other), len(data[i]))
-        while d < end and other[d : d + 32] == data[i][d : d + 32]:
+            d, children = node
+            node = children.get(own[d] if d < n else -1) or next(iter(children.values()))
+        d, end = 0, min(len(node), n)
+        while d < end and node[d : d + 32] == own[d : d + 32]:
             d += 32
         d = min(d, end)
-        while d < end and other[d] == data[i][d]:
+        while d < end and node[d] == own[d]:
             d += 1
-        if d == len(other) == len(data[i]):
-            node.append(i)
-            continue
+        other, mine = node[d] if d < len(node) else -1, own[d] if d < n else -1
         parent, node = None, root
         while isinstance(node, tuple) and node[0] < d:
-            parent, node = node, node[1][byte(i, node[0])]
+            parent, node = node, node[1][own[node[0]]]
         if isinstance(node, tuple) and node[0] == d:
-            node[1][byte(i, d)] = [i]
+            node[1][mine] = own
             continue
-        split = (d, {byte(node_leaf(node), d): node, byte(i, d): [i]})
+        split = (d, {other: node, mine: own})
         if parent is None:
             root = split
         else:
-            parent[1][byte(i, parent[0])] = split
+            parent[1][own[parent[0]]] = split
     out: list[int] = []
     stack = [root]
     while stack:
         node = stack.pop()
-        if isinstance(node, list):
-            out += node
-        else:
+        if isinstance(node, tuple):
             stack += [node[1][b] for b in sorted(node[1], reverse=True)]
+        else:
+            out += of[node]
     return out
 
 
-def node_leaf(node: list | tuple) -> int:
-    while isinstance(node, tuple):
-        node = next(iter(node[1].values()))
-    return node[0]
-
-
 def deep_shallow(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The order of rows (n, width uint8, zero beyond their lengths) by their bytes, shorter first."""
     shallow = min(SHALLOW, rows.shape[1] // 8 * 8)
@@ -112,6 +119,12 @@ def deep_shallow(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
             # Deep enough, or a row ends within this word.
             out += blind_trie(rows, lengths, which.tolist(), 8 * w)
         else:
+            same = (words[which, w:] == words[which[0], w:]).all(axis=0)
+            if same[0]:
+                # All agree for some words: on to the first in which they don't, or to one in which a row ends.
+                run = len(same) if same.all() else int(same.argmin())
+                todo.append((which, min(w + run, int(lengths[which].min()) // 8)))
+                continue
             c = words[which, w]
             pivot = np.partition(c, len(c) // 2)[len(c) // 2]
             for part, deeper in ((which[c > pivot], 0), (which[c == pivot], 1), (which[c < pivot], 0)):

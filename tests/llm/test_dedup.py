@@ -145,7 +145,7 @@ def repeat_rows():
     return rows
 
 
-@pytest.mark.parametrize(("hot", "pairs"), [(65_536, 48), (65_536, 2), (8, 48)])
+@pytest.mark.parametrize(("hot", "pairs"), [(65_536, 160), (65_536, 2), (8, 160)])
 def test_repeats(spark, monkeypatch, hot, pairs):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
     monkeypatch.setattr(substring_dedup, "PAIRS", pairs)
