@@ -338,13 +338,13 @@ def q_path_overlap(spark, sf_dir):
 
 def q_clean_text(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    messy = F.concat(F.lit("　<b>"), F.substring("text", 1, 80), F.lit("</b> <br/>  x &amp; y\n\n\n\n z  "))
-    return d.select("doc_id", text.strip_html(messy).alias("plain"), text.one_line(messy).alias("line"), text.clean_lines(F.substring("text", 1, 200)).alias("lines"), text.strip(messy).alias("stripped"))
+    messy = F.concat(F.lit("　<b>"), F.col("text"), F.lit("</b> <br/>  x &amp; y\n\n\n\n z  "))
+    return d.select("doc_id", text.strip_html(messy).alias("plain"), text.one_line(messy).alias("line"), text.clean_lines(F.col("text")).alias("lines"), text.strip(messy).alias("stripped"))
 
 
 def q_parse_int(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.first_integer(F.concat(F.lit("no. -"), F.format_number(F.col("doc_id") * 12345, 0), F.lit(" of 9"))).alias("a"), text.first_integer(F.substring("text", 1, 400), signed=False).alias("b"), text.count_or_zero(F.lit("none")).alias("c"))
+    return d.select("doc_id", text.first_integer(F.concat(F.lit("no. -"), F.format_number(F.col("doc_id") * 12345, 0), F.lit(" of 9"))).alias("a"), text.first_integer(F.col("text"), signed=False).alias("b"), text.count_or_zero(F.lit("none")).alias("c"))
 
 
 def q_research_date(spark, sf_dir):
