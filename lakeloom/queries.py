@@ -429,7 +429,7 @@ def q_last_per_key(spark, sf_dir):
 
 
 def q_counter_delta(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("user_id < 20").withColumn("v", F.col("event_id") * 3)
+    e = table(spark, sf_dir, "events").withColumn("v", F.col("event_id") * 3)
     return relations.delta(e, ["user_id"], "event_id", "v").select("event_id", "delta")
 
 

@@ -12,3 +12,9 @@ def test_texts_are_read_to_their_ends(spark, tmp_path):
     assert clean[1].line == "<b>" + "word " * 100 + "last line 42 end</b> <br/> x & y z"
     assert clean[1].stripped == f"<b>{long}</b> <br/>  x &amp; y\n\n\n\n z"
     assert {r.doc_id: r.b for r in queries.q_parse_int(spark, str(tmp_path)).collect()} == {1: 42, 2: None, 3: None}
+
+
+def test_deltas_of_all_keys(spark, tmp_path):
+    spark.createDataFrame([(i, i % 3 * 40) for i in range(9)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_id: r.delta for r in queries.q_counter_delta(spark, str(tmp_path)).collect()}
+    assert got == {i: i * 3 if i < 3 else 9 for i in range(9)}
