@@ -1,17 +1,17 @@
-"""Licence scan by conditional compression.
+"""Licence scan by conditional compression and exact wording.
 
 A block of text is a candidate if it has a word that licence notices use. It is compressed alone and with each
-template as a raw zstandard dictionary; the relative size reductions rank the templates. The best ones are then
-confirmed by exact wording: the template's words are looked up in the block in order, and the differences must be few
-and must not touch words that tell licences apart, such as version numbers.
+template as a raw zstandard dictionary; the best relative size reduction is its score. Wordings are confirmed apart
+from the score: the template's words must follow each other with few differences, of which none may be a missing
+number. Only stretches with too few of a template's words are passed over, which can't have its wording.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 
 import pandas as pd
 import zstandard
@@ -24,8 +24,8 @@ from .license_templates import TEMPLATES
 TRIGGER = r"(?i)licen[sc]|copyright|spdx|creative commons|public domain|\bcc0?[ -]|hereby granted|redistribut|free software|all copies"
 #: Characters of a block at most (longer lines are cut at blanks), and of overlap between its pieces.
 BLOCK, OVERLAP = 1200, 400
-#: Templates to confirm, the least reduction, and the share of a template's words that may differ.
-RANKED, LEAST_REDUCTION, MOST_MISSING = 3, 0.15, 0.1
+#: The share of a template's words that may differ.
+MOST_MISSING = 0.1
 RESULT = "n_blocks int, licenses array<string>, reduction double, n_differences int, differences array<string>, spans array<struct<license:string,start:int,end:int>>"
 
 
@@ -60,9 +60,74 @@ class Template:
     words: list[str]
     compressor: zstandard.ZstdCompressor
 
+    def __post_init__(self) -> None:
+        self.most, self.counts = int(MOST_MISSING * len(self.words)), Counter(self.words)
+        self.fixed = [bool(re.search(r"\d", w)) for w in self.words]
+
+
+def placed_words(text: str) -> list[tuple[str, int, int]]:
+    """(word, start, end) of each word."""
+    return [(m.group().lower().rstrip("."), m.start(), m.end()) for m in re.finditer(r"[\w.-]+", text) if m.group().strip(".-")]
+
 
 def word_list(text: str) -> list[str]:
-    return [w.lower().rstrip(".") for w in re.findall(r"[\w.-]+", text) if w.strip(".-")]
+    return [w for w, _, _ in placed_words(text)]
+
+
+def stretches(words: list[str], t: Template) -> Iterator[tuple[int, int]]:
+    """Where a wording may lie: runs of windows of its greatest length that have enough of the template's words."""
+    width, sums = len(t.words) + t.most, [0]
+    for w in words:
+        sums.append(sums[-1] + (w in t.counts))
+    open_ = None
+    for i in range(max(1, len(words) - width + 1)):
+        end = min(len(words), i + width)
+        if sums[end] - sums[i] >= len(t.words) - t.most:
+            if open_ and i > open_[1]:
+                yield open_
+                open_ = None
+            open_ = (open_[0] if open_ else i, end)
+    if open_:
+        yield open_
+
+
+def wordings(words: list[str], t: Template) -> Iterator[tuple[int, int, list[str]]]:
+    """(first word, end, differences) of each wording of the template, none overlapping another."""
+    for at, stop in stretches(words, t):
+        while at < stop:
+            best, until = None, stop
+            # By template words used: (differences, -first word, the differing words), None beyond the most allowed.
+            row = start_row(t, at)
+            for j in range(at, stop):
+                new = start_row(t, j + 1)
+                for i, word in enumerate(t.words):
+                    ways = [new[i + 1]] if new[i + 1] else []
+                    if word == words[j] and row[i]:
+                        ways.append(row[i])
+                    if (c := row[i + 1]) and c[0] < t.most:
+                        ways.append((c[0] + 1, c[1], (*c[2], f"+{words[j]}")))
+                    if (c := new[i]) and c[0] < t.most and not t.fixed[i]:
+                        ways.append((c[0] + 1, c[1], (*c[2], f"-{word}")))
+                    new[i + 1] = min(ways, default=None)
+                row = new
+                if row[-1] and (best is None or row[-1][0] < best[0][0]):
+                    # A better end of the same wording has the words that this one lacks, and no more others than allowed.
+                    best, until = (row[-1], j + 1), until if best else j + 1 + 2 * t.most
+                if best and j + 1 >= until:
+                    break
+            if best is None:
+                break
+            (_, first, differences), at = best
+            yield -first, at, sorted(differences, key=lambda d: d[0] == "+")
+
+
+def start_row(t: Template, at: int) -> list[tuple | None]:
+    """The alignment before the word `at`: nothing used, or the first words missing."""
+    row: list[tuple | None] = [(0, -at, ())]
+    for i, word in enumerate(t.words):
+        c = row[i]
+        row.append((c[0] + 1, -at, (*c[2], f"-{word}")) if c and c[0] < t.most and not t.fixed[i] else None)
+    return row
 
 
 class Scanner:
@@ -71,41 +136,38 @@ class Scanner:
         raw = lambda t: zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.templates = [Template(k, word_list(t), zstandard.ZstdCompressor(level=9, dict_data=raw(t))) for k, all_ in templates.items() for t in all_]
 
-    def ranked(self, block: str) -> list[tuple[float, Template]]:
-        """Templates by the relative reduction of the block's compressed size."""
+    def reduction(self, block: str) -> float:
+        """The best relative reduction of the block's compressed size by a template."""
         data = " ".join(block.lower().split()).encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(data))
-        return sorted(((1 - len(t.compressor.compress(data)) / alone, t) for t in self.templates), key=lambda x: -x[0])
-
-    def confirmed(self, block: str, template: Template) -> tuple[list[str], int, int] | None:
-        """The differing words and where the wording lies, if it is the template's."""
-        found = [(m.group().lower().rstrip("."), m.start(), m.end()) for m in re.finditer(r"[\w.-]+", block) if m.group().strip(".-")]
-        match = SequenceMatcher(None, template.words, [w for w, _, _ in found], autojunk=False).get_matching_blocks()[:-1]
-        if not match:
-            return None
-        first, last = match[0].b, match[-1].b + match[-1].size
-        kept = {i for m in match for i in range(m.a, m.a + m.size)}
-        missing = [w for i, w in enumerate(template.words) if i not in kept]
-        added = [found[i][0] for i in range(first, last) if not any(m.b <= i < m.b + m.size for m in match)]
-        if len(missing) + len(added) > MOST_MISSING * len(template.words) or any(re.search(r"\d", w) for w in missing):
-            return None
-        return [f"-{w}" for w in missing] + [f"+{w}" for w in added], found[first][1], found[last - 1][2]
+        return max(1 - len(t.compressor.compress(data)) / alone for t in self.templates)
+
+    def confirmed(self, text: str) -> Iterator[tuple[tuple[str, int, int], list[str]]]:
+        """((licence, start, end), differing words) of the wordings of all templates."""
+        found = placed_words(text)
+        words = [w for w, _, _ in found]
+        counts = Counter(words)
+        for t in self.templates:
+            if sum(min(n, counts[w]) for w, n in t.counts.items()) >= len(t.words) - t.most:
+                for first, end, differences in wordings(words, t):
+                    yield (t.license, found[first][1], found[end - 1][2]), differences
 
     def scan(self, text: str | None) -> tuple:
-        n, best, spans, differences = 0, 0.0, {}, None
+        n, best, hits = 0, 0.0, {}
         for start, block in blocks(text or ""):
             n += 1
-            order = self.ranked(block)
-            best = max(best, order[0][0])
-            # Wordings of one licence may lie inside another's block, so licences already ranked don't end the search.
-            for reduction, t in order[: RANKED * 2]:
-                if reduction >= LEAST_REDUCTION and (hit := self.confirmed(block, t)):
-                    span = (t.license, start + hit[1], start + hit[2])
-                    if not any(k == span[0] and a <= span[1] and span[2] <= b for k, a, b in spans):
-                        spans[span] = hit[0]
-        found = sorted(spans, key=lambda s: (s[1], s[0]))
-        differences = [d for s in found for d in spans[s]]
-        return n, sorted({s[0] for s in found}), best, len(differences), differences, [dict(zip(("license", "start", "end"), s, strict=True)) for s in found]
+            best = max(best, self.reduction(block))
+            for (k, a, b), differences in self.confirmed(block):
+                hits[k, start + a, start + b] = differences
+        spans, last = [], {}
+        for k, a, b in sorted(hits, key=lambda s: (s[1], -s[2], s[0])):
+            # A wording inside another one of its licence is no further one.
+            if b > last.get(k, -1):
+                spans.append((k, a, b))
+                last[k] = b
+        spans.sort(key=lambda s: (s[1], s[0]))
+        differences = [d for s in spans for d in hits[s]]
+        return n, sorted({s[0] for s in spans}), best, len(differences), differences, [dict(zip(("license", "start", "end"), s, strict=True)) for s in spans]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:

@@ -136,6 +136,20 @@ def test_licenses(spark):
     assert scan_licenses(frame(spark, [])).count() == 0
 
 
+PROSE = "Morning light fell on the harbour while nine boats left for colder waters and somebody counted crates by hand. "
+
+
+def test_licenses_in_prose(spark):
+    notices = {k: v for k, v in TEMPLATES.items()}
+    cases = [(k, before + t + after) for k, v in notices.items() for t in v for before, after in [("", " " + PROSE * 9), (PROSE * 4, " " + PROSE * 4), (PROSE * 9, "")]]
+    got = {r.doc_id: r for r in scan_licenses(frame(spark, [(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    assert [(i, k) for i, (k, _) in enumerate(cases) if k not in got[i].licenses] == []
+    all_ = "".join(f"{v[0]} {PROSE}" for v in notices.values())
+    assert scan_licenses(frame(spark, [(1, all_)])).first().licenses == sorted(notices)
+    twice = f"{notices['MIT'][0]} {PROSE} {notices['MIT'][0]}"
+    assert len(scan_licenses(frame(spark, [(1, twice)])).first().spans) == 2
+
+
 def toxic_rows():
     rng = random.Random(2)
     docs, labels = [], []
