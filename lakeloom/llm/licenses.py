@@ -3,7 +3,8 @@
 A block of text is a candidate if it has a word that licence notices use. It is compressed alone and with each
 template as a raw zstandard dictionary; the best relative size reduction is its score. Wordings are confirmed apart
 from the score: the template's words must follow each other with few differences, of which none may be a missing
-number. Only stretches with too few of a template's words are passed over, which can't have its wording.
+number. They are looked for in the whole text, across lines, blank lines and blocks. Only texts and stretches with too
+few of a template's words are passed over, which can't have its wording.
 """
 
 from __future__ import annotations
@@ -153,12 +154,11 @@ class Scanner:
                     yield (t.license, found[first][1], found[end - 1][2]), differences
 
     def scan(self, text: str | None) -> tuple:
-        n, best, hits = 0, 0.0, {}
-        for start, block in blocks(text or ""):
+        n, best = 0, 0.0
+        for _, block in blocks(text or ""):
             n += 1
             best = max(best, self.reduction(block))
-            for (k, a, b), differences in self.confirmed(block):
-                hits[k, start + a, start + b] = differences
+        hits = dict(self.confirmed(text or ""))
         spans, last = [], {}
         for k, a, b in sorted(hits, key=lambda s: (s[1], -s[2], s[0])):
             # A wording inside another one of its licence is no further one.
@@ -170,11 +170,20 @@ class Scanner:
         return n, sorted({s[0] for s in spans}), best, len(differences), differences, [dict(zip(("license", "start", "end"), s, strict=True)) for s in spans]
 
 
+def needed(templates: dict[str, list[str]]) -> str:
+    """A pattern that fits every text with a wording: of each template, one word more than may be missing, the longest ones."""
+    out = set()
+    for words in (word_list(t) for all_ in templates.values() for t in all_):
+        out |= set(sorted(set(words), key=lambda w: (-len(w), w))[: int(MOST_MISSING * len(words)) + 1])
+    # A word within a longer one fits wherever that does.
+    return "(?iu)" + "|".join(re.escape(w) for w in sorted(out) if not any(x != w and x in w for x in out))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """One row per document: `id_col`, n_blocks, licenses (sorted), reduction, n_differences, differences, spans.
 
-    reduction is the best relative size reduction of a candidate block; spans are code points of confirmed wordings.
-    A null or empty text has no blocks. Repeated rows give repeated results; other columns are not read.
+    reduction is the best relative size reduction of a candidate block; spans are code points of confirmed wordings,
+    which may lie across blocks or outside of them. A null or empty text has no blocks. Repeated rows give repeated results; other columns are not read.
     """
 
     def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -182,6 +191,6 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for texts in batches:
             yield pd.DataFrame([scanner.scan(t) for t in texts], columns=[c.split(" ")[0] for c in ("n_blocks", "licenses", "reduction", "n_differences", "differences", "spans")])
 
-    # Texts without a trigger don't leave the JVM.
-    text = F.when(F.col(text_col).rlike(TRIGGER), F.col(text_col))
+    # Texts without a trigger or a word that each wording has don't leave the JVM.
+    text = F.when(F.col(text_col).rlike(TRIGGER) | F.col(text_col).rlike(needed(templates)), F.col(text_col))
     return docs.select(F.col(id_col), F.pandas_udf(scanned, RESULT)(text).alias("_r")).select(F.col(id_col), "_r.*")

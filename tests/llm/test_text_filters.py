@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -150,6 +151,16 @@ def test_licenses_in_prose(spark):
     assert len(scan_licenses(frame(spark, [(1, twice)])).first().spans) == 2
 
 
+def test_licenses_across_lines(spark):
+    wrapped = lambda t: "\n".join(f"# {x}" for x in textwrap.wrap(t, 72))
+    cases = [(k, f"{PROSE}\n{wrapped(t)}\n\n{PROSE}") for k, v in TEMPLATES.items() for t in v]
+    owners = "\n".join(f"Copyright (c) 20{i:02d} the holders of part {i}" for i in range(40))
+    cases += [("MIT", f"{owners}\n{wrapped(TEMPLATES['MIT'][1])}"), ("BSD-3-Clause", TEMPLATES["BSD-3-Clause"][0].replace("are met: ", "are met:\n\n1. "))]
+    cases += [("CC0-1.0", "Released under\nCC0\n1.0."), ("ISC", wrapped(TEMPLATES["ISC"][0].replace("copyright", "ownership")).replace(" all ", " all\n").replace("hereby ", "hereby\n"))]
+    got = {r.doc_id: r for r in scan_licenses(frame(spark, [(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    assert [(i, k) for i, (k, _) in enumerate(cases) if k not in got[i].licenses] == []
+
+
 def toxic_rows():
     rng = random.Random(2)
     docs, labels = [], []
