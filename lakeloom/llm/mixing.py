@@ -2,9 +2,10 @@
 
 A source is a queue of blocks of `block_docs` documents. With weight q of a total Q, block j of a source is released
 at slot floor(j*Q/q) and due by slot ceil((j+1)*Q/q); in each slot the released block with the earliest deadline is
-played. That keeps every source within less than one block of its share at any time. Weights are whole numbers, so
-the schedule repeats after Q slots: one period is worked out on the driver from the weights alone (its size doesn't
-depend on the documents) and documents find their slot from their rank in their source by arithmetic.
+played. That keeps every source within less than one block of its share at any time. Weights are fractions as exact as
+they are given, so nothing drifts however long the input is. The slots are worked out on the driver from the weights
+and the numbers of blocks, a few numbers a block, and go to the executors as a table; documents find their block from
+their rank in their source.
 
 When a source runs out, a new phase begins with the next slot: the others share the slots in proportion to their
 weights. No row is dropped or repeated, and no slot stays empty.
@@ -13,18 +14,21 @@ weights. No row is dropped or repeated, and no slot stays empty.
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from fractions import Fraction
+from itertools import islice
+from math import lcm
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import packed
+from .common import packed, stored
 
-#: Sources with queues of their own; smaller ones beyond share one queue, so the tables that are broadcast stay bounded.
+#: Sources with queues of their own; smaller ones beyond are mixed into one queue, so the tables that are broadcast stay bounded.
 MAX_LANES = 255
-#: Slots of a period before sources run out.
-PERIOD = 1000
+#: Slots that go to Spark at once.
+BATCH = 1_000_000
 #: Parts of a source that are ranked on their own; a source with a third of all rows is spread over all of them.
 CHUNKS = 4096
 REST = "*"
@@ -40,45 +44,64 @@ def whole_weights(share: Mapping[str, float], period: int) -> dict[str, int]:
     return out
 
 
-def one_period(weights: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period, by earliest deadline first among released blocks."""
+def exact_weights(share: Mapping[str, float]) -> dict[str, int]:
+    """Whole weights in the exact proportions of the shares as they are written."""
+    exact = {k: Fraction(str(v)) for k, v in share.items()}
+    unit = lcm(*[v.denominator for v in exact.values()])
+    return {k: int(v * unit) for k, v in exact.items()}
+
+
+def earliest_deadlines(weights: Mapping[str, int]) -> Iterator[str]:
+    """The source of each slot without end, by earliest deadline first among released blocks."""
     total = sum(weights.values())
     waiting = [(0, k, 0) for k in weights]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []  # deadline, source, block
-    out: dict[str, list[int]] = {k: [] for k in weights}
-    for slot in range(total):
+    slot = 0
+    while True:
         while waiting and waiting[0][0] <= slot:
             _, k, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * total // weights[k]), k, j))
         _, k, j = heapq.heappop(ready)
+        yield k
+        heapq.heappush(waiting, ((j + 1) * total // weights[k], k, j + 1))
+        slot += 1
+
+
+def one_period(weights: Mapping[str, int]) -> dict[str, list[int]]:
+    """The slots of each source until the schedule repeats."""
+    out: dict[str, list[int]] = {k: [] for k in weights}
+    for slot, k in enumerate(islice(earliest_deadlines(weights), sum(weights.values()))):
         out[k].append(slot)
-        if j + 1 < weights[k]:
-            heapq.heappush(waiting, ((j + 1) * total // weights[k], k, j + 1))
     return out
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> tuple[list[tuple], list[tuple]]:
-    """(source, phase, first block, end, first slot, q, Q) and (source, phase, k, slot of its k-th block in a period)."""
-    left, done, at, n = dict(blocks), dict.fromkeys(blocks, 0), 0, 0
-    spans, slots = [], []
+def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> Iterator[tuple[str, int, int, int]]:
+    """(source, phase, block, slot) of all blocks in the order of slots."""
+    left, done, slot, n = dict(blocks), dict.fromkeys(blocks, 0), 0, 0
     while left:
-        q = {k: weights[k] for k in left}
-        total = sum(q.values())
-        pattern = one_period(q)
-        slot_of = lambda k, j: j // q[k] * total + pattern[k][j % q[k]]
-        # The phase ends with the first last block.
-        end = min(slot_of(k, left[k] - 1) for k in left) + 1
-        for k in sorted(left):
-            take = end // total * q[k] + bisect_left(pattern[k], end % total)
-            spans.append((k, n, done[k], done[k] + take, at, q[k], total))
-            slots += [(k, n, i, s) for i, s in enumerate(pattern[k])]
-            done[k] += take
-            left[k] -= take
-        left = {k: v for k, v in left.items() if v}
-        at += end
+        for k in earliest_deadlines({k: weights[k] for k in left}):
+            yield k, n, done[k], slot
+            done[k] += 1
+            left[k] -= 1
+            slot += 1
+            # The phase ends with the first last block.
+            if not left[k]:
+                del left[k]
+                break
         n += 1
-    return spans, slots
+
+
+def slot_table(spark: SparkSession, slots: Iterable[tuple[str, int, int, int]]) -> DataFrame:
+    """The slots as a table; beyond one batch it is stored, so the driver never holds more than a batch."""
+    kinds, it, out = pa.schema([("_pl", pa.string()), ("_phase", pa.int64()), ("_pb", pa.int64()), ("_slot", pa.int64())]), iter(slots), None
+    while (batch := list(islice(it, BATCH))) or out is None:
+        columns = zip(*batch, strict=True) if batch else [()] * 4
+        df = spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], schema=kinds))
+        if out is not None or len(batch) == BATCH:
+            df = stored(df, "slots")
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block_docs: int = 16, temperature: float = 0.5) -> DataFrame:
@@ -88,48 +111,67 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str
     full. `weights` gives the share of each source; sources that it doesn't name get the least
     share named. Without it, shares are the row counts to the power of `temperature`. A null source is a source of
     its own. Within a source the order is that of a hash of the id, then the id; rows that repeat an id are told
-    apart by their place in the input. Columns that the result adds replace columns of the same names. An empty
+    apart by their place in the input. Sources beyond the MAX_LANES largest make up lane `*`, whose weight is the sum of
+    theirs; within it each keeps its own, row r of a source of weight w standing at (r + u) / w, u in [0, 1) by its
+    name. Weights have to be over 0. Columns that the result adds replace columns of the same names. An empty
     table stays empty.
     """
+    if weights and min(weights.values()) <= 0:
+        raise ValueError("weights have to be over 0")
     spark = docs.sparkSession
     added = ["mix_phase", "mix_slot", "mix_order", "mix_lane"]
     docs = docs.drop(*added)
     by_source = docs.groupBy(F.col(source_col).cast("string").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
     sized = by_source.orderBy(F.desc("_n"), F.asc_nulls_first("_s")).limit(MAX_LANES).collect()
     named = {r["_s"]: r["_n"] for r in sized}
-    rest = (by_source.agg(F.sum("_n").alias("n")).first()["n"] or 0) - sum(named.values())
     lane_of = {s: f"={s}" if s is not None else "null" for s in named}
-    counts = {lane_of[s]: n for s, n in named.items()} | ({REST: rest} if rest else {})
-    if weights:
-        least = min(weights.values())
-        share = {lane_of[s]: weights.get(s, least) for s in named} | ({REST: least} if rest else {})
-    else:
-        share = {k: n**temperature for k, n in counts.items()}
-    spans, slots = phases({k: -(-n // block_docs) for k, n in counts.items()}, whole_weights(share, PERIOD)) if counts else ([], [])
+    counts = {lane_of[s]: n for s, n in named.items()}
+    least = min(weights.values()) if weights else None
+    share = {lane_of[s]: weights.get(s, least) if weights else n**temperature for s, n in named.items()}
     lanes = spark.createDataFrame([(s, k) for s, k in lane_of.items()], "_ls string, _lane string")
-    span_rows = spark.createDataFrame(spans, "_sl string, mix_phase long, _first long, _end long, _at long, _q long, _total long")
-    slot_rows = spark.createDataFrame(slots, "_pl string, _pp long, _pk long, _slot long")
+    rest = None
+    if len(named) == MAX_LANES:
+        members = by_source.join(F.broadcast(lanes), F.col("_s").eqNullSafe(F.col("_ls")), "left_anti")
+        if weights:
+            given = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "_gs string, _gw double")
+            members = members.join(given, F.col("_s").eqNullSafe(F.col("_gs")), "left").withColumn("_w", F.coalesce("_gw", F.lit(float(least))))
+        else:
+            members = members.withColumn("_w", F.pow("_n", F.lit(float(temperature))))
+        members = members.select(F.col("_s").alias("_ms"), F.col("_n").alias("_mn"), "_w", (F.col("_n") / F.col("_w")).alias("_last"))
+        rest = members.agg(F.sum("_mn").alias("n"), F.sum("_w").alias("w"), F.max("_last").alias("last")).first()
+        if rest["n"]:
+            counts[REST], share[REST] = rest["n"], rest["w"]
+    slots = slot_table(spark, phases({k: -(-n // block_docs) for k, n in counts.items()}, exact_weights(share)))
 
     own = packed(docs, F.col(source_col).cast("string").alias("_source"), F.col(id_col).alias("_oid"), F.xxhash64(F.col(id_col)).alias("_h"))
     keyed = own.join(F.broadcast(lanes), F.col("_source").eqNullSafe(F.col("_ls")), "left").drop("_ls")
     keyed = keyed.withColumn("_lane", F.coalesce("_lane", F.lit(REST)))
-    keyed = keyed.withColumn("_chunk", F.pmod("_h", F.lit(CHUNKS)))
+    keyed = keyed.withColumn("_chunk", F.pmod("_h", F.lit(CHUNKS))).withColumn("_at", F.lit(0.0))
+    if REST in counts:
+        # No member has more rows than the least of MAX_LANES other sources.
+        in_source = F.row_number().over(Window.partitionBy("_source").orderBy("_h", "_oid")) - 1
+        start = F.pmod(F.xxhash64("_source"), F.lit(1 << 20)) / F.lit(1 << 20)
+        small = keyed.where(F.col("_lane") == REST).withColumn("_r", in_source).join(members, F.col("_source").eqNullSafe(F.col("_ms")))
+        small = small.withColumn("_at", (F.col("_r") + start) / F.col("_w"))
+        small = small.withColumn("_chunk", F.least(F.floor(F.col("_at") / rest["last"] * CHUNKS), F.lit(CHUNKS - 1)))
+        keyed = keyed.where(F.col("_lane") != REST).unionByName(small.select(*keyed.columns))
     sizes = keyed.groupBy("_lane", "_chunk").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("_lane").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col("_lane").alias("_ol"), F.col("_chunk").alias("_oc"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-    place = Window.partitionBy("_lane", "_chunk").orderBy("_h", "_oid")
+    offsets = sizes.select(F.col("_lane").alias("_ol"), F.col("_chunk").alias("_oc"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), "_c")
+    first = F.floor(F.col("_before") / block_docs)
+    # Blocks of each chunk with their slots, so that rows need no further join.
+    each = offsets.select("_ol", "_oc", "_before", F.explode(F.sequence(first, F.floor((F.col("_before") + F.col("_c") - 1) / block_docs))).alias("_ob"))
+    met = each.join(slots, (F.col("_ol") == F.col("_pl")) & (F.col("_ob") == F.col("_pb")))
+    played = met.groupBy("_ol", "_oc").agg(F.first("_before").alias("_before"), F.array_sort(F.collect_list(F.struct("_ob", "_phase", "_slot"))).alias("_played"))
+    place = Window.partitionBy("_lane", "_chunk").orderBy("_at", "_h", "_oid")
     # The rows are dealt by lane and chunk already, so this join moves only the offsets.
-    ranked = keyed.withColumn("_in", F.row_number().over(place)).join(offsets, (F.col("_lane") == F.col("_ol")) & (F.col("_chunk") == F.col("_oc")))
+    ranked = keyed.withColumn("_in", F.row_number().over(place)).join(played, (F.col("_lane") == F.col("_ol")) & (F.col("_chunk") == F.col("_oc")))
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_in") - 1)
-    ranked = ranked.withColumn("_block", F.floor(F.col("_rank") / block_docs))
-    timed = ranked.join(F.broadcast(span_rows), (F.col("_lane") == F.col("_sl")) & (F.col("_block") >= F.col("_first")) & (F.col("_block") < F.col("_end")))
-    step = F.col("_block") - F.col("_first")
-    timed = timed.withColumn("_k", step % F.col("_q")).withColumn("_period", F.floor(step / F.col("_q")))
-    timed = timed.join(F.broadcast(slot_rows), (F.col("_lane") == F.col("_pl")) & (F.col("mix_phase") == F.col("_pp")) & (F.col("_k") == F.col("_pk")))
-    slot = F.col("_at") + F.col("_period") * F.col("_total") + F.col("_slot")
+    timed = ranked.withColumn("_b", F.col("_played")[(F.floor(F.col("_rank") / block_docs) - first).cast("int")])
+    slot = F.col("_b._slot")
     return timed.select(
         "_row.*",
-        "mix_phase",
+        F.col("_b._phase").alias("mix_phase"),
         slot.alias("mix_slot"),
         (slot * block_docs + F.col("_rank") % block_docs).alias("mix_order"),
         F.col("_lane").alias("mix_lane"),

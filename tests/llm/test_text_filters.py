@@ -12,12 +12,13 @@ import numpy as np
 import pandas as pd
 import pytest
 from lakeloom.llm import decontaminate as decon
+from lakeloom.llm import mixing
 from lakeloom.llm.boosting import fit_trees, total
 from lakeloom.llm.decontaminate import decontaminate, drop_contaminated
 from lakeloom.llm.language import identify
 from lakeloom.llm.license_templates import TEMPLATES
 from lakeloom.llm.licenses import scan_licenses
-from lakeloom.llm.mixing import mix, one_period, whole_weights
+from lakeloom.llm.mixing import exact_weights, mix, one_period, phases, whole_weights
 from lakeloom.llm.pii import find_pii
 from lakeloom.llm.toxicity import drop_toxic, fit_toxicity, grade_documents
 from lakeloom.llm.url_filter import RULES, Segmenter, filter_urls
@@ -262,3 +263,30 @@ def test_mix(spark):
                 assert abs(Fraction(share[lane] * t, sum(share[x] for x in live)) - own[:t].count(lane)) < 1
     assert mix(docs.where("false")).count() == 0
     assert mix(docs).count() == len(rows)
+
+
+def test_schedule_does_not_drift():
+    weights = exact_weights({"a": 0.99951, "b": 0.00049})
+    assert weights == {"a": 99951, "b": 49}
+    n, total_ = Counter(), sum(weights.values())
+    for k, _, j, slot in phases({"a": 40_000, "b": 40}, weights):
+        if slot == 30_000:
+            break
+        assert j == n[k]
+        n[k] += 1
+        assert all(abs(Fraction(q * (slot + 1), total_) - n[x]) < 1 for x, q in weights.items())
+
+
+def test_mix_of_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_LANES", 2)
+    monkeypatch.setattr(mixing, "BATCH", 50)
+    sizes = {"p": 400, "q": 300, "r": 240, "s": 120, None: 60}
+    rows = [(i, "t", s) for s, n in sizes.items() for i in range(n)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), {"p": 0.2, "q": 0.2, "r": 0.1, "s": 0.4, None: 0.1}, block_docs=4).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in got) == Counter(rows) and len({r.mix_order for r in got}) == len(rows)
+    first = [r for r in sorted(got, key=lambda r: r.mix_order) if r.mix_phase == 0]
+    rest = [r.source for r in first if r.mix_lane == "*"]
+    assert abs(len(rest) / len(first) - 0.6) < 0.02
+    # All of s is played by then; while it lasts it has four rows for each row of r and of null.
+    played = rest[:150]
+    assert abs(played.count("s") - 100) <= 2 and abs(played.count("r") - 25) <= 2
