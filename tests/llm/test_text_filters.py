@@ -290,3 +290,11 @@ def test_mix_of_many_sources(spark, monkeypatch):
     # All of s is played by then; while it lasts it has four rows for each row of r and of null.
     played = rest[:150]
     assert abs(played.count("s") - 100) <= 2 and abs(played.count("r") - 25) <= 2
+
+
+def test_mix_moves_whole_rows(spark):
+    from lakeloom.llm.queries import op10_mix
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = op10_mix(spark, "/root/testdata/sf0.001").select(docs.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, docs.collect()))
