@@ -383,7 +383,7 @@ def q_html_title(spark, sf_dir):
 
 def q_html_rows(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    made = pages.select("page_id", F.concat(F.lit("<table><tr><th>id</th><td> "), F.col("page_id"), F.lit("</td></tr><TR class='x'><td>a <b>b</b></td></TR><tr></tr></table>")).alias("html"))
+    made = pages.select("page_id", F.concat(F.coalesce("html", F.lit("")), F.lit("<table><tr><th>id</th><td> "), F.col("page_id"), F.lit("</td></tr><TR class='x'><td>a <b>b</b></td></TR><tr></tr></table>")).alias("html"))
     return extract.table_rows(made, "page_id").select("page_id", F.col("pos").cast("long").alias("pos"), F.array_join("cells", "|").alias("cells"))
 
 

@@ -18,3 +18,10 @@ def test_deltas_of_all_keys(spark, tmp_path):
     spark.createDataFrame([(i, i % 3 * 40) for i in range(9)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
     got = {r.event_id: r.delta for r in queries.q_counter_delta(spark, str(tmp_path)).collect()}
     assert got == {i: i * 3 if i < 3 else 9 for i in range(9)}
+
+
+def test_rows_of_whole_pages(spark, tmp_path):
+    page = "<p>" + "text " * 100 + "</p><table><tr><td>own</td><td>row</td></tr></table>"
+    spark.createDataFrame([(1, page), (2, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, queries.q_html_rows(spark, str(tmp_path)).collect()))
+    assert got == [(1, 0, "own|row"), (1, 1, "id|1"), (1, 2, "a b"), (2, 0, "id|2"), (2, 1, "a b")]
