@@ -25,8 +25,15 @@ def local_midnight_utc(date: Column, zone: str) -> Column:
 
 
 def iso_time(c: Column) -> Column:
-    """ISO text with Z, an offset or none (UTC); null if it isn't one."""
-    return F.try_to_timestamp(F.regexp_replace(F.trim(c), "Z$", "+00:00"))
+    """ISO text with Z, an offset or none (UTC); null or blank text is null, any other text an error."""
+    text = F.trim(c)
+    return F.when(text == "", None).otherwise(F.coalesce(try_iso_time(c), F.when(text.isNotNull(), F.raise_error(F.concat(F.lit("not a time: "), text)).cast("timestamp"))))
+
+
+def try_iso_time(c: Column) -> Column:
+    """iso_time, with null for text that isn't a time. Only texts that begin with a year are tried."""
+    text = F.trim(c)
+    return F.try_to_timestamp(F.when(text.rlike(r"^\d{4}-\d{2}"), F.regexp_replace(text, "Z$", "+00:00")))
 
 
 def day_series(first: Column, last: Column) -> Column:
@@ -48,7 +55,7 @@ def month_series(first: Column, last: Column, reverse: bool = False) -> Column:
     return F.reverse(months) if reverse else months
 
 
-#: Year, month and day in these orders, tried in turn.
+# The ways in which reports write year, month and day, tried in turn.
 REPORT_DATES = [r"(\d{4})[.\-/]\s*(\d{1,2})[.\-/]\s*(\d{1,2})", r"(\d{4})\s*년\s*(\d{1,2})\s*월\s*(\d{1,2})\s*일", r"(?<!\d)(\d{2})[.](\d{1,2})[.](\d{1,2})(?!\d)"]
 
 
@@ -83,7 +90,7 @@ def hong_kong_time(c: Column) -> Column:
     return F.to_utc_timestamp(local, "Asia/Hong_Kong")
 
 
-#: Seconds of a unit, and how it is written.
+# Seconds of a unit, and how it is written; what means now.
 UNITS = [(1, r"(?i)(\d+)\s*(?:초|秒|seconds?|secs?)"), (60, r"(?i)(\d+)\s*(?:분|分钟|分鐘|minutes?|mins?)"), (3600, r"(?i)(\d+)\s*(?:시간|小时|小時|hours?|hrs?)"), (86400, r"(?i)(\d+)\s*(?:일|天|days?)")]
 NOW = ["방금", "刚刚", "剛剛", "just now", "now"]
 

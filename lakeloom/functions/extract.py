@@ -7,6 +7,7 @@ Arrow-batched functions on the standard library.
 from __future__ import annotations
 
 import html as html_
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -143,11 +144,20 @@ def unescape(text: Column) -> Column:
     return F.pandas_udf(lambda rows: pd.Series([None if t is None else html_.unescape(t) for t in rows], dtype=object), "string")(text)
 
 
+DECLARED = re.compile(rb"""<meta[^>]*?charset\s*=\s*["']?\s*([\w-]+)""", re.IGNORECASE)
+
+
 def decoded(data: bytes | None, charset: str | None) -> str | None:
-    """By the response's charset, then Korean encodings and UTF-8: the first that decodes and looks like HTML."""
+    """By the response's charset, the one that the page declares or its bytes show, Korean encodings and UTF-8: the
+    first that decodes and looks like HTML; else UTF-8 with replacements."""
     if data is None:
         return None
-    for name in filter(None, (charset, "utf-8", "euc-kr", "cp949")):
+    found = DECLARED.search(data[:4096])
+    try:
+        detected = "utf-8" if data.decode("utf-8") else None
+    except UnicodeDecodeError:
+        detected = None
+    for name in filter(None, (charset, found and found[1].decode("ascii"), detected, "euc-kr", "cp949", "utf-8")):
         try:
             text = data.decode(name)
         except (LookupError, UnicodeDecodeError):

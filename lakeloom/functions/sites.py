@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ PUBLISHERS = {
     "electronicnews_": "전자신문", "asiae_": "아시아경제", "chosunbiz_": "조선비즈", "yna_": "연합뉴스", "yonhap_": "연합뉴스",
     "newspim_": "뉴스핌",
 }
+GENERIC_TITLES = ["tossinvest", "toss invest", "토스증권", "토스증권 - 주식 투자를 더 쉽게"]
+GENERIC_PARTS = ["뉴스 · 공시", "뉴스·공시", "주요 뉴스", "관련 주식", "관련 종목"]
 SECTIONS = ["\n관련 주식\n", "\n관련주식\n", "\n관련 종목\n", "\n관련종목\n", "\n주요 뉴스\n"]
 
 
@@ -84,13 +89,20 @@ def hkex_report_type(c: Column) -> Column:
 
 def hkex_pdf_url(c: Column, base: str = "https://www1.hkexnews.hk") -> Column:
     """The absolute address with scheme and host in lower case and without fragment; null if it isn't one of a report."""
-    text = one_line(c)
-    url = F.when(text.rlike("(?i)^https?://"), text).when(text.startswith("/"), F.concat(F.lit(base), text)).otherwise(F.concat(F.lit(f"{base}/"), text))
+    url = absolute(one_line(c), base)
     part = lambda i: F.regexp_extract(url, r"(?i)^(https?)://([^/?#:]*)(:\d+)?([^?#]*)(\?[^#]*)?", i)
     ok = F.lower(part(4)).endswith(".pdf") & F.lower(part(2)).isin(REPORT_HOSTS)
     return F.when(ok, F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), part(3), part(4), part(5)))
 
 
+def absolute(href: Column, base: str) -> Column:
+    """An address on a page of `base` (a host's root) as a whole one; `.` and `..` parts are resolved."""
+    whole = F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.lit(f"{base.split('//')[0]}"), href)).when(href.startswith("/"), F.concat(F.lit(base), href)).otherwise(F.concat(F.lit(f"{base}/"), href))
+    for _ in range(4):
+        whole = F.regexp_replace(F.regexp_replace(whole, r"(?<=[^:/])/\.(?=/)", ""), r"(?<=[^:/])/(?!\.\./)[^/?#]+/\.\.(?=/)", "")
+    return F.regexp_replace(whole, r"^(https?://[^/]+)(?:/\.\.)+(?=/)", "$1")
+
+
 def hkex_source_id(url: Column) -> Column:
     return F.sha2(hkex_pdf_url(url), 256)
 
@@ -134,6 +146,44 @@ def toss_publisher(news_id: Column) -> Column:
     return out
 
 
-def is_human_check(html: Column) -> Column:
-    """Whether a page is a firewall's question for humans instead of content."""
-    return F.lower(html).contains("human verification") | html.contains("awsWafCookieDomainList")
+def is_human_check(status: Column, html: Column) -> Column:
+    """Whether a page is a firewall's question for humans instead of content: by the status, the phrase and a marker."""
+    marker = html.contains("awsWafCookieDomainList") | html.contains("gokuProps")
+    return F.coalesce((status == 405) & html.contains("Human Verification") & marker, F.lit(False))
+
+
+# Research categories and the list pages of each.
+RESEARCH_LISTS = {
+    "market": "/research/market_info_list.naver", "invest": "/research/invest_list.naver", "company": "/research/company_list.naver",
+    "industry": "/research/industry_list.naver", "economy": "/research/economy_list.naver", "debenture": "/research/debenture_list.naver",
+}
+NAVER = "https://finance.naver.com"
+
+
+def research_category(name: str) -> str:
+    if (out := str(name).strip().lower()) not in RESEARCH_LISTS:
+        raise ValueError(f"unknown research category: {name}")
+    return out
+
+
+def research_categories(names: str | Iterable[str] | None) -> tuple[str, ...]:
+    """Each once, in order; nothing or `all` stands for all of them."""
+    given = ["all"] if names is None else [names] if isinstance(names, str) else list(names)
+    each = (c for n in given for c in (RESEARCH_LISTS if str(n).strip().lower() == "all" else [research_category(n)]))
+    return tuple(dict.fromkeys(each))
+
+
+def research_list_url(category: Column, page: Column) -> Column:
+    paths = F.create_map(*[F.lit(x) for kv in RESEARCH_LISTS.items() for x in kv])
+    return F.when(page >= 1, F.concat(F.lit(NAVER), F.try_element_at(paths, F.lower(F.trim(category))), F.lit("?page="), page.cast("int")))
+
+
+def news_list_url(code: Column, page: Column) -> Column:
+    return F.concat(F.lit(f"{NAVER}/item/news_news.naver?code="), naver_code(code), F.lit("&page="), page.cast("int"))
+
+
+def is_generic_title(title: Column, stock: Column) -> Column:
+    """Whether a title names the site or a section instead of an article."""
+    text = without_zero_width(title)
+    out = (text == "") | F.lower(text).isin(GENERIC_TITLES) | reduce(Column.__or__, [text.contains(w) for w in GENERIC_PARTS])
+    return out | ((F.coalesce(stock, F.lit("")) != "") & text.isin(F.concat(stock, F.lit(" 뉴스")), F.concat(stock, F.lit(" News"))))

@@ -31,11 +31,41 @@ def stopped_at(pages: DataFrame, key: Sequence[str], order: str, n_new: str, aft
 
 
 def repeated_page(pages: DataFrame, key: Sequence[str], order: str, ids: str) -> DataFrame:
-    """pages with `repeats`: the page's ids are those of the page before, or all seen before."""
-    before = Window.partitionBy(*key).orderBy(order)
-    seen = F.array_distinct(F.flatten(F.collect_list(ids).over(before.rowsBetween(Window.unboundedPreceding, -1))))
-    same = F.coalesce(F.col(ids) == F.lag(ids).over(before), F.lit(False))
-    return pages.withColumn("repeats", same | ((F.size(ids) > 0) & (F.size(F.array_except(F.col(ids), seen)) == 0)))
+    """pages with `repeats`: the page's ids are those of the page before, or all seen before. A page is held against
+    the place at which each of its ids came first, so no page carries those before it."""
+    each = pages.select(*key, order, F.explode(F.array_distinct(ids)).alias("_id"))
+    first = F.min(order).over(Window.partitionBy(*key, "_id"))
+    fresh = each.withColumn("_first", first).groupBy(*key, order).agg(F.bool_or(F.col("_first") == F.col(order)).alias("_fresh"))
+    same = F.coalesce(F.col(ids) == F.lag(ids).over(Window.partitionBy(*key).orderBy(order)), F.lit(False))
+    out = pages.withColumn("_same", same).join(fresh, [*key, order], "left")
+    return out.withColumn("repeats", F.col("_same") | ((F.size(ids) > 0) & ~F.coalesce("_fresh", F.lit(False)))).select(*pages.columns, "repeats")
+
+
+def paging_stop(pages: DataFrame, key: Sequence[str], order: str, ids: str, n_new: str, empty: int = 1, known: int = 3) -> DataFrame:
+    """Per key: stop_page and `why`, by the first rule that ends a paged crawl: `empty` pages without ids in a row,
+    a repeated page, `known` pages in a row without anything new. On one page they count in this order."""
+    told = repeated_page(pages, key, order, ids).withColumn("_size", F.size(ids))
+    told = quiet_streak(told, key, order, "_size").withColumnRenamed("streak", "_empty")
+    told = quiet_streak(told, key, order, n_new).withColumnRenamed("streak", "_known")
+    why = F.when(F.col("_empty") >= empty, "empty").when(F.col("repeats"), "repeated").when(F.col("_known") >= known, "known")
+    ended = told.withColumn("why", why).groupBy(*key).agg(F.min_by("why", F.when(F.col("why").isNotNull(), F.col(order))).alias("why"), F.min(F.when(F.col("why").isNotNull(), F.col(order))).alias("stop_page"))
+    return ended.select(*key, "stop_page", "why")
+
+
+def until_empty(pages: DataFrame, key: Sequence[str], order: str, n_items: str) -> DataFrame:
+    """The pages before the first empty one."""
+    upto = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return pages.withColumn("_least", F.min(n_items).over(upto)).where(F.col("_least") > 0).drop("_least")
+
+
+def harvested(batches: DataFrame, known: DataFrame, key: Sequence[str], order: str, id_: str, after: int = 3) -> DataFrame:
+    """New items of a harvest that scrolls: of (key, order, id) those that aren't known, each at its first batch, up to
+    the batch at which `after` batches in a row brought nothing new."""
+    new = batches.join(known.select(id_).distinct(), id_, "left_anti").groupBy(*key, id_).agg(F.min(order).alias(order))
+    per_batch = new.groupBy(*key, order).agg(F.count(F.lit(1)).alias("_n"))
+    every = batches.select(*key, order).distinct().join(per_batch, [*key, order], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    stop = stopped_at(every, key, order, "_n", after).select(*key, "stop_page")
+    return new.join(stop, list(key)).where(F.col("stop_page").isNull() | (F.col(order) <= F.col("stop_page"))).select(*key, order, id_)
 
 
 def signature(rows: DataFrame, key: Sequence[str], pos: str, value: str) -> DataFrame:

@@ -9,15 +9,20 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
+import time
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, replace
 from zoneinfo import ZoneInfo
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..model import COLUMNS, DATASETS, DatasetSpec
+from ..model import COLUMNS, DATASETS, RECORD, DatasetSpec
 from ..sources import catalog
+from ..sources.lake import checked_size
 
 DAY = dt.timedelta(days=1)
 
@@ -54,14 +59,34 @@ class NormalQuery:
 
 @dataclass
 class QueryStats:
+    """What a query did: counts, and seconds of its parts."""
+
+    catalog_lookups: int = 0
     catalog_files: int = 0
+    candidate_rows: int = 0
     parquet_files_read: int = 0
     rows_read: int = 0
     rows_returned: int = 0
     batches: int = 0
-    catalog_lookups: int = 0
+    largest_batch_bytes: int = 0
     stopped_early: bool = False
-    extra: dict = field(default_factory=dict)
+    catalog_seconds: float = 0.0
+    read_seconds: float = 0.0
+    total_seconds: float = 0.0
+
+    def row(self) -> dict:
+        return asdict(self)
+
+
+def lookups_hold(stats: QueryStats, n_instruments: int) -> None:
+    """The catalog must not be asked for each instrument."""
+    if n_instruments > 1 and stats.catalog_lookups >= n_instruments:
+        raise AssertionError(f"{stats.catalog_lookups} catalog lookups for {n_instruments} instruments")
+
+
+def memory_holds(stats: QueryStats, batch_size: int, row_bytes: int) -> bool:
+    """Whether no batch was larger than its rows may be."""
+    return stats.largest_batch_bytes <= batch_size * row_bytes
 
 
 def required(value: str, name: str) -> str:
@@ -201,50 +226,85 @@ def candidates(files: DataFrame, q: NormalQuery) -> DataFrame:
     return out
 
 
-def on_catalog(spark: SparkSession, files: DataFrame, spec: QuerySpec, stats: QueryStats | None = None) -> DataFrame:
-    """The query on the files that the catalog lists."""
-    q = normalised(spec)
-    found = candidates(files, q).select("file_path", "remote_path", "row_count").collect()
+def on_catalog(spark: SparkSession, files: DataFrame, spec: QuerySpec, stats: QueryStats | None = None, check_size: bool = False) -> DataFrame:
+    """The query on the files that the catalog lists. The schema is known, so no file is opened before it is read.
+    check_size: a file of another size than the catalog's is an error."""
+    q, began = normalised(spec), time.monotonic()
+    listing = candidates(files, q)
+    found = listing.select("file_path", "remote_path", "row_count").collect()
     if stats is not None:
         stats.catalog_lookups += 1
         stats.catalog_files = stats.parquet_files_read = len(found)
-        stats.rows_read = sum(f["row_count"] for f in found)
+        stats.candidate_rows = stats.rows_read = sum(f["row_count"] for f in found)
+        stats.catalog_seconds += time.monotonic() - began
     if not found:
-        from ..model import RECORD
-
         return spark.createDataFrame([], RECORD).select(*q.columns)
-    rows = spark.read.option("mergeSchema", "true").parquet(*[f["remote_path"] or f["file_path"] for f in found])
-    return ordered(rows.where(predicate(q)).select(*q.columns))
+    rows = spark.read.schema(RECORD).parquet(*[f["remote_path"] or f["file_path"] for f in found])
+    return ordered((checked_size(rows, listing) if check_size else rows).where(predicate(q)).select(*q.columns))
 
 
-def iter_batches(spark: SparkSession, files: DataFrame, spec: QuerySpec, batch_size: int = 65_536, max_rows: int | None = None, stats: QueryStats | None = None) -> Iterator[list]:
-    """Batches of rows, file by file in catalog order; no file is opened once max_rows is reached. No order across files."""
+def iter_arrow(spark: SparkSession, files: DataFrame, spec: QuerySpec, batch_size: int = 65_536, max_rows: int | None = None, stats: QueryStats | None = None) -> Iterator[pa.RecordBatch]:
+    """Arrow batches, file by file in catalog order; no file is opened once max_rows is reached. No order across files.
+    The driver holds one file's rows that match."""
     if batch_size < 1 or max_rows is not None and max_rows < 1:
         raise ValueError("batch_size and max_rows must be at least 1")
-    q, stats = normalised(spec), stats if stats is not None else QueryStats()
-    stats.catalog_lookups += 1
-    left = max_rows
-    found = candidates(files, q).select("file_path", "remote_path", "row_count").collect()
-    stats.catalog_files = len(found)
+    q, stats, began = normalised(spec), stats if stats is not None else QueryStats(), time.monotonic()
+    left, found = max_rows, candidates(files, q).select("file_path", "remote_path", "row_count").collect()
+    stats.catalog_lookups, stats.catalog_files, stats.candidate_rows = stats.catalog_lookups + 1, len(found), sum(f["row_count"] for f in found)
+    stats.catalog_seconds += time.monotonic() - began
     for f in found:
         if left == 0:
             stats.stopped_early = True
-            return
-        rows = spark.read.parquet(f["remote_path"] or f["file_path"]).where(predicate(q)).select(*q.columns)
-        stats.parquet_files_read += 1
-        stats.rows_read += f["row_count"]
-        held: list = []
-        for row in (rows if left is None else rows.limit(left)).toLocalIterator():
-            held.append(row)
-            if len(held) == batch_size:
-                yield from _given(held, stats)
-                left, held = None if left is None else left - len(held), []
-        if held:
-            yield from _given(held, stats)
-            left = None if left is None else left - len(held)
-
-
-def _given(batch: list, stats: QueryStats) -> Iterator[list]:
-    stats.batches += 1
-    stats.rows_returned += len(batch)
-    yield batch
+            break
+        at = time.monotonic()
+        rows = spark.read.schema(RECORD).parquet(f["remote_path"] or f["file_path"]).where(predicate(q)).select(*q.columns)
+        table = (rows if left is None else rows.limit(left)).toArrow()
+        stats.parquet_files_read, stats.rows_read = stats.parquet_files_read + 1, stats.rows_read + f["row_count"]
+        stats.read_seconds += time.monotonic() - at
+        left = None if left is None else left - table.num_rows
+        for batch in table.combine_chunks().to_batches(max_chunksize=batch_size):
+            if batch.num_rows:
+                stats.batches, stats.rows_returned = stats.batches + 1, stats.rows_returned + batch.num_rows
+                stats.largest_batch_bytes = max(stats.largest_batch_bytes, batch.nbytes)
+                yield batch
+    stats.total_seconds += time.monotonic() - began
+
+
+def iter_batches(spark: SparkSession, files: DataFrame, spec: QuerySpec, batch_size: int = 65_536, max_rows: int | None = None, stats: QueryStats | None = None) -> Iterator[list]:
+    """iter_arrow() as lists of dictionaries."""
+    for batch in iter_arrow(spark, files, spec, batch_size, max_rows, stats):
+        yield batch.to_pylist()
+
+
+def streamed(spark: SparkSession, files: DataFrame, spec: QuerySpec, max_rows: int, stats: QueryStats | None = None) -> DataFrame:
+    """The first max_rows rows in catalog order, from as few files as it takes."""
+    schema = T.StructType([RECORD[c] for c in normalised(spec).columns])
+    got = list(iter_arrow(spark, files, spec, max_rows=max_rows, stats=stats))
+    return spark.createDataFrame(pa.Table.from_batches(got), schema) if got else spark.createDataFrame([], schema)
+
+
+def first_of_batch(batch: pa.RecordBatch, instruments: Sequence[str]) -> pa.RecordBatch:
+    """The rows of an Arrow batch that name one of the instruments, themselves or by a relation."""
+    wanted, keep = set(instruments), []
+    for own, text in zip(batch.column("instrument_id").to_pylist(), batch.column("relations_json").to_pylist(), strict=True):
+        try:
+            named = json.loads(text or "[]")
+        except ValueError:
+            named = []
+        keep.append(own in wanted or isinstance(named, list) and any(isinstance(r, dict) and r.get("instrument_id") in wanted for r in named))
+    return batch.filter(pa.array(keep, pa.bool_()))
+
+
+def printed(rows: DataFrame, limit: int = 20, as_json: bool = False) -> str:
+    """Rows as text: JSON lines, or columns one below the other. The limit is for display only."""
+    got = rows.limit(limit)
+    if as_json:
+        return "\n".join(got.toJSON().collect())
+    return "\n".join(f"{i + 1}. " + " | ".join(f"{c}={r[c]}" for c in got.columns if r[c] is not None) for i, r in enumerate(got.collect()))
+
+
+def asked_instruments(one: str | None = None, many: Sequence[str] = (), file_ids: Sequence[str] | None = None) -> tuple[str, ...]:
+    """Instruments of a flag, a list and a file as one; a file without any is an error."""
+    if file_ids is not None and not [i for i in file_ids if i.strip()]:
+        raise ValueError("the instruments file is empty")
+    return normal_instruments(one, [*many, *(file_ids or ())])

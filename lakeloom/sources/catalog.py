@@ -1,18 +1,20 @@
 """The file catalog as a DataFrame: listings, upserts and state changes. One row stands for one Parquet file.
 
 Every change gives a new DataFrame; save() writes it as a new version beside the old one and then moves the pointer,
-so readers never see half a catalog.
+so readers never see half a catalog (see versions.py).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..model import DATA_FILE
+from . import versions
 
 KEY = "file_path"
 #: What an upsert may change: a file's description, never its storage or lifecycle.
@@ -65,13 +67,10 @@ def upserted(files: DataFrame, incoming: DataFrame) -> DataFrame:
     new = incoming.select(KEY, *[F.col(c).alias(f"_{c}") for c in DESCRIPTION], F.lit(True).alias("_new"))
     both = files.join(new, KEY, "full_outer")
     last = files.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_last"))
-    fresh = F.when(F.col("id").isNull(), F.lit(1))
     # Only new files get numbers, so the numbering covers what comes in.
-    numbered = both.withColumn("_fresh", fresh)
-    known = numbered.where(F.col("_fresh").isNull()).withColumn("_id", F.col("id"))
-    added = numbered.where(F.col("_fresh").isNotNull()).crossJoin(F.broadcast(last))
-    added = added.withColumn("_id", F.col("_last") + F.row_number().over(Window.orderBy(KEY))).drop("_last")
-    merged = known.unionByName(added)
+    known = both.where(F.col("id").isNotNull()).withColumn("_id", F.col("id"))
+    added = numbered(both.where(F.col("id").isNull()), [f"_{c}" for c in DESCRIPTION[:5]], KEY).crossJoin(F.broadcast(last))
+    merged = known.unionByName(added.withColumn("_id", F.col("_last") + F.col("_place")).drop("_last", "_place"))
     keep = lambda c: F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
     return merged.select(
         F.col("_id").cast("long").alias("id"), *[keep(c) for c in DESCRIPTION[:5]], KEY, *[keep(c) for c in DESCRIPTION[5:]],
@@ -79,6 +78,17 @@ def upserted(files: DataFrame, incoming: DataFrame) -> DataFrame:
     ).select(*DATA_FILE.fieldNames())
 
 
+def numbered(rows: DataFrame, group: list[str], key: str) -> DataFrame:
+    """rows with `_place`: numbers from 1 without gaps, by group, then key. A group is numbered by itself, after the
+    sizes of the groups before it, so only one row a group meets in one task."""
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*[F.col(c).alias(f"{c}2") for c in group], F.coalesce(F.sum("_c").over(order), F.lit(0)).alias("_before"))
+    inner = rows.withColumn("_in", F.row_number().over(Window.partitionBy(*group).orderBy(key)))
+    met = inner.join(before, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{c}2")) for c in group]))
+    return met.withColumn("_place", F.col("_before") + F.col("_in")).drop("_in", "_before", *[f"{c}2" for c in group])
+
+
 def changed(files: DataFrame, paths: Iterable[str] | DataFrame, **values: Column | str | None) -> DataFrame:
     """The named columns of the files at `paths` (a list, or a DataFrame with file_path) get new values."""
     if isinstance(paths, DataFrame):
@@ -120,3 +130,19 @@ def with_lifecycle(files: DataFrame) -> DataFrame:
 
 def empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], DATA_FILE)
+
+
+def save(files: DataFrame, root: str) -> int:
+    """Saves the catalog as the next version at root and returns its number."""
+    return versions.save(files.select(*DATA_FILE.fieldNames()), root)
+
+
+def load(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The saved catalog; an empty one if there is none."""
+    return versions.load(spark, root, DATA_FILE, version)
+
+
+def register(spark: SparkSession, root: str, incoming: DataFrame) -> DataFrame:
+    """Upserts file descriptions into the saved catalog and returns it."""
+    save(upserted(load(spark, root), incoming), root)
+    return load(spark, root)

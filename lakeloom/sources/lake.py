@@ -6,11 +6,15 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import identity as ident
+from ..functions.dates import iso_time
 from ..functions.sites import is_canonical
 from ..functions.text import optional
-from ..model import COLUMNS, STATE, DatasetSpec
+from ..model import COLUMNS, RECORD, STATE, DatasetSpec
+from . import files as fs
+from . import versions
 
 PARTITIONS = ["site", "country_code", "dataset_name", "year", "month", "day", "bucket"]
 
@@ -19,12 +23,25 @@ def canonical(df: DataFrame, spec: DatasetSpec, strict: bool = False) -> DataFra
     """Rows with the record columns, stripped and checked, identified and versioned.
 
     Missing columns are null. `payload` (map or struct) and `relations` (array of structs) become JSON with sorted
-    keys. strict: a row that lacks what it needs is an error; else it is left out (see rejected()).
+    keys. strict: a row that lacks what it needs is an error; else rejected() has it and this has not.
     """
+    own = described(df, spec)
+    bad = problems(own)
+    own = own.withColumn("_bad", F.when(F.size(bad) > 0, F.raise_error(F.array_join(bad, "; ")).cast("string"))).where(F.col("_bad").isNull()).drop("_bad") if strict else own.where(F.size(bad) == 0)
+    return identified(own)
+
+
+def rejected(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The rows that are no records, as far as they are described, with `problems`: why."""
+    own = described(df, spec)
+    return own.withColumn("problems", problems(own)).where(F.size("problems") > 0).drop("_it", "_ii", "_rel")
+
+
+def described(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     text = lambda c: optional(F.col(c)) if c in df.columns else F.lit(None).cast("string")
-    time = lambda c: F.col(c).cast("timestamp") if c in df.columns else F.lit(None).cast("timestamp")
+    time = lambda c: record_time(df, c) if c in df.columns else F.lit(None).cast("timestamp")
     relations = F.col("relations") if "relations" in df.columns else F.lit(None).cast("array<struct<instrument_id:string,relation_type:string,confidence:double>>")
-    own = df.select(
+    return df.select(
         (F.col("schema_version") if "schema_version" in df.columns else F.lit(1)).cast("int").alias("schema_version"),
         F.coalesce(text("mutation_policy"), F.lit("immutable")).alias("mutation_policy"), text("site_id").alias("site_id"), F.upper(text("country")).alias("country"),
         F.coalesce(text("dataset"), F.lit(spec.name)).alias("dataset"), text("source_id").alias("source_id"), F.coalesce(text("scope_type"), F.lit("global")).alias("scope_type"),
@@ -34,9 +51,11 @@ def canonical(df: DataFrame, spec: DatasetSpec, strict: bool = False) -> DataFra
         *[text(c).alias(c) for c in ("title", "content", "author_id", "author_name", "source_url")],
         (sorted_json(F.col("payload")) if "payload" in df.columns else text("payload_json")).alias("payload_json"), relations_json(relations).alias("relations_json"), ident.relation_text(relations).alias("_rel"),
     )
-    bad = problems(own)
-    own = own.withColumn("_bad", F.when(F.size(bad) > 0, F.raise_error(F.array_join(bad, "; ")).cast("string"))).where(F.col("_bad").isNull()).drop("_bad") if strict else own.where(F.size(bad) == 0)
-    return identified(own)
+
+
+def record_time(df: DataFrame, name: str) -> Column:
+    """A time as it is, or ISO text: with Z, an offset or none (UTC). Other text is an error, not a missing time."""
+    return iso_time(F.col(name)) if df.schema[name].dataType.typeName() == "string" else F.col(name).cast("timestamp")
 
 
 def problems(df: DataFrame) -> Column:
@@ -76,20 +95,17 @@ def partitioned(records: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def write_lake(records: DataFrame, spec: DatasetSpec, root: str, max_records: int = 500_000, mode: str = "append") -> None:
-    """One shuffle brings a partition's rows together, so it gets few files; large ones are cut at max_records."""
-    rows = partitioned(records, spec)
-    rows = rows.repartition(*PARTITIONS).sortWithinPartitions(*PARTITIONS, "event_time", "record_uid")
+    """One shuffle brings a partition's rows together, so it gets few files; large ones are cut at max_records. A
+    partition over the advisory size (a day of a hot bucket, a year of filings) is split over several tasks."""
+    rows = partitioned(records, spec).hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "event_time", "record_uid")
     rows.select(*COLUMNS, *PARTITIONS).write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", max_records).partitionBy(*PARTITIONS).parquet(root)
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
-    """All records with their path columns, the latter as text whatever they look like."""
-    kept = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        return spark.read.parquet(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", kept)
+    """All records with their path columns, the latter as text whatever they look like. The schema is given, so no
+    file is opened to find it."""
+    schema = T.StructType([*RECORD.fields, *[T.StructField(c, T.StringType()) for c in PARTITIONS]])
+    return spark.read.schema(schema).parquet(root)
 
 
 def files_of(records: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -112,11 +128,18 @@ def checksums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return files.select(F.col("path").alias("file_path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("file_size"))
 
 
+def with_checksums(spark: SparkSession, files: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """Catalog rows with the sha256 of what the files hold, read by the executors."""
+    sums = checksums(spark, paths).select(fs.plain_path(F.col("file_path")).alias("_p"), "sha256")
+    return files.drop("sha256").withColumn("_p", fs.plain_path(F.col("file_path"))).join(sums, "_p").drop("_p")
+
+
 def checked_size(read: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of files whose size is the catalog's; another size is an error."""
-    sizes = files.select(F.col("file_path").alias("_path"), F.col("file_size").alias("_size"))
-    met = read.withColumns({"_p": F.col("_metadata.file_path"), "_s": F.col("_metadata.file_size")}).join(F.broadcast(sizes), F.col("_p").endswith(F.col("_path")))
-    ok = F.when(F.col("_s") == F.col("_size"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("size differs from the catalog: "), F.col("_p"))).cast("boolean"))
+    """Rows of files whose size is the catalog's. Another size, or a file that the catalog doesn't have, is an error."""
+    sizes = files.select(fs.plain_path(F.coalesce("remote_path", "file_path") if "remote_path" in files.columns else F.col("file_path")).alias("_path"), F.col("file_size").alias("_size"))
+    met = read.withColumns({"_p": fs.plain_path(F.col("_metadata.file_path")), "_s": F.col("_metadata.file_size")}).join(sizes, F.col("_p") == F.col("_path"), "left")
+    fail = lambda why: F.raise_error(F.concat(F.lit(f"{why}: "), F.col("_p"))).cast("boolean")
+    ok = F.when(F.col("_path").isNull(), fail("not in the catalog")).when(F.col("_s") == F.col("_size"), F.lit(True)).otherwise(fail("size differs from the catalog"))
     return met.where(ok).drop("_p", "_s", "_path", "_size")
 
 
@@ -159,6 +182,21 @@ def saved_checkpoint(checkpoints: DataFrame, new: DataFrame, key: Sequence[str])
     return checkpoints.join(new.select(*key), list(key), "left_anti").unionByName(new)
 
 
+def store_checkpoints(spark: SparkSession, root: str, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Saves new states as the next version of the table at root and returns it."""
+    old = versions.load(spark, root, new.schema)
+    versions.save(saved_checkpoint(old, new, key), root)
+    return versions.load(spark, root, new.schema)
+
+
+def read_instruments(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, instrument_id) of a file with one id a line, whatever the ids look like; a file without any is an error."""
+    out = read_universe(spark, path, strict=False)
+    if out.isEmpty():
+        raise ValueError(f"no instrument in {path}")
+    return out
+
+
 def read_universe(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """(pos, instrument_id): the lines that aren't comments, each once, in order. strict: an id that isn't canonical,
     or another number than the '# metadata:' header says, is an error."""
@@ -225,14 +263,27 @@ def existing_ids(spark: SparkSession, path: str, column: str = "news_id") -> Dat
 
 
 def attachments(spark: SparkSession, paths: Sequence[str], most: int = 100 << 20) -> DataFrame:
-    """(path, sha256, size, stored_path, problem): where each file belongs by its content; equal contents are one."""
-    files = spark.read.format("binaryFile").load(list(paths)).where(F.col("length") <= most * 2)
-    sha = F.sha2("content", 256)
-    is_pdf = F.substring("content", 1, 5) == F.lit(b"%PDF-")
-    bad = F.when(F.col("length") == 0, "empty").when(F.col("length") > most, "too large").when(~is_pdf, "not a PDF")
-    out = files.select("path", sha.alias("sha256"), F.col("length").alias("size"), bad.alias("problem"))
-    out = out.withColumn("stored_path", F.concat_ws("/", F.substring("sha256", 1, 2), F.concat("sha256", F.lit(".pdf"))))
-    return out.withColumn("is_first", F.row_number().over(Window.partitionBy("sha256").orderBy("path")) == 1)
+    """(path, sha256, size, stored_path, problem): where each file belongs by its content; equal contents are one. Of a
+    file over `most` bytes the content isn't read, so it has a problem and no sha256."""
+    listed = spark.read.format("binaryFile").load(list(paths))
+    large = listed.where(F.col("length") > most).select("path", F.lit(None).cast("string").alias("sha256"), F.col("length").alias("size"), F.lit("too large").alias("problem"))
+    sha, is_pdf = F.sha2("content", 256), F.substring("content", 1, 5) == F.lit(b"%PDF-")
+    bad = F.when(F.col("length") == 0, "empty").when(~is_pdf, "not a PDF")
+    out = listed.where(F.col("length") <= most).select("path", sha.alias("sha256"), F.col("length").alias("size"), bad.alias("problem")).unionByName(large)
+    out = out.withColumn("stored_path", F.when(F.col("problem").isNull(), F.concat_ws("/", F.substring("sha256", 1, 2), F.concat("sha256", F.lit(".pdf")))))
+    first = out.groupBy("sha256").agg(F.min("path").alias("_first"))
+    return out.join(first, "sha256", "left").withColumn("is_first", F.col("problem").isNull() & (F.col("path") == F.col("_first"))).drop("_first")
+
+
+def store_attachments(spark: SparkSession, paths: Sequence[str], root: str, most: int = 100 << 20) -> DataFrame:
+    """Copies the first file of each content to root/stored_path, unless it is there with its size, and returns
+    attachments() with `status`: stored, present, same (as another one) or rejected."""
+    found = attachments(spark, paths, most)
+    todo = [(r["path"], f"{root}/{r['stored_path']}", r["size"]) for r in found.where("is_first").select("path", "stored_path", "size").collect()]
+    done = fs.copied(spark, todo)
+    status = spark.createDataFrame([(s, k) for (s, _, _), k in zip(todo, done, strict=True)], "path string, _status string")
+    told = F.when(F.col("problem").isNotNull(), "rejected").when(F.col("is_first"), F.col("_status")).otherwise("same")
+    return found.join(status, "path", "left").withColumn("status", told).drop("_status")
 
 
 def union_of(parts: Iterable[DataFrame]) -> DataFrame:
