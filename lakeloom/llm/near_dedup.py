@@ -8,12 +8,16 @@
 3. In every bucket each class is paired with the smallest one. Pairs whose collision-corrected estimate is within
    reach of the threshold are confirmed on the full sets, and linked classes get a first component.
 4. Classes joined by buckets that still hold several components form a cluster. It is cut into blocks of bounded
-   size, and each two blocks meet in one task, which compares the full sets of all members of different components
-   and returns only as many links as join them: no link between components is lost, and no pair becomes a row.
+   size. Registers meet first: a task has those of two wide blocks and looks for members of different components
+   whose sizes and corrected estimate are within reach of the threshold. Texts go only to the blocks in which they
+   have such a partner, so texts that merely share boilerplate move a signature and nothing else. There the full sets
+   are compared, and only as many links returned as join the components: none between them is lost, and no pair
+   becomes a row.
 5. A component takes the smallest id of its documents.
 
 Texts travel once to the hubs they are compared with; hubs of many pairs are dealt out over several tasks, which
-stream through the pairs and hold one set at a time.
+stream through the pairs and hold one set at a time. Full sets are sets of 64-bit shingle hashes, not of the words
+themselves; in a pair of 10,000 shingles each, two that differ have equal hashes with a probability of 5e-12.
 """
 
 from __future__ import annotations
@@ -27,14 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, same, stored
+from .common import only, packed, same, stored, without
 from .components import connected
 from .shingles import BANDS, REGISTERS, WordHashes, band_keys, corrected, digest, shingle_set, signature
 
 #: An estimate of less than the threshold by this is four standard deviations off at 128 registers, or more.
 SLACK = 0.15
-#: Pairs of one hub in a task, and members of one of the two blocks that a task compares.
-HUB_PAIRS, BLOCK = 2048, 512
+#: Pairs of one hub in a task, members of one of the two blocks whose texts a task compares, and such blocks in a wide one.
+HUB_PAIRS, BLOCK, WIDE = 2048, 512, 4
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
@@ -77,10 +81,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     clusters = connected(near, "_hub", "_node")
     clusters = clusters.union(clusters.select("root", "root").distinct()).toDF("_node", "_cluster")
     parts = clusters.groupBy("_cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_parts"))
-    members = clusters.join(parts, "_cluster").join(placed.select("_node", "_root").distinct(), "_node").join(texts, "_node")
+    members = clusters.join(parts, "_cluster").join(placed.select("_node", "_root").distinct(), "_node").join(signed, "_node")
     own = F.pmod(F.hash("_node"), F.col("_parts"))
-    pairs_of = F.explode(F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda j: F.struct(F.least("_own", j).alias("i"), F.greatest("_own", j).alias("j"))))
-    blocks = members.withColumn("_own", own).withColumn("_b", pairs_of).select("_cluster", F.col("_b.i").alias("_i"), F.col("_b.j").alias("_j"), "_own", "_node", "_root", "_text")
+    wide, wides = F.floor(F.col("_own") / WIDE).cast("int"), F.ceil(F.col("_parts") / WIDE).cast("int")
+    pairs_of = F.explode(F.transform(F.sequence(F.lit(0), wides - 1), lambda j: F.struct(F.least(wide, j).alias("i"), F.greatest(wide, j).alias("j"))))
+    met = members.withColumn("_own", own).withColumn("_b", pairs_of).select("_cluster", F.col("_b.i").alias("_i"), F.col("_b.j").alias("_j"), "_own", "_node", "_root", "_n", "_sig")
+    met = met.repartition("_cluster", "_i", "_j").sortWithinPartitions("_cluster", "_i", "_j")
+    within = "_cluster binary, _i int, _j int, _own int, _node binary, _root binary"
+    within = stored(met.mapInArrow(lambda batches: in_reach(batches, percent), within), "within")
+    blocks = within.join(texts, "_node").select("_cluster", "_i", "_j", "_own", "_node", "_root", "_text")
     blocks = blocks.repartition("_cluster", "_i", "_j").sortWithinPartitions("_cluster", "_i", "_j")
     more = stored(blocks.mapInArrow(lambda batches: crossing(batches, width, percent), "_hub binary, _node binary"), "links")
     ends = connected(roots.select(F.col("root").alias("_hub"), F.col("node").alias("_node")).union(more), "_hub", "_node")
@@ -168,6 +177,49 @@ def crossing(batches: Iterable[pa.RecordBatch], width: int, percent: int) -> Ite
         yield as_pairs(links_within(held, percent))
 
 
+def in_reach(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come by cluster and two wide blocks; (cluster, two blocks, member) for the members that have a partner."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+            if held and held[0][:3] != row[:3]:
+                yield partners(held, percent)
+                held = []
+            held.append(row)
+    if held:
+        yield partners(held, percent)
+
+
+def partners(rows: list[tuple], percent: int) -> pa.RecordBatch:
+    rows = sorted(rows, key=lambda r: r[6])
+    (cluster, i, j), n = rows[0][:3], len(rows)
+    own, size, sig = np.array([r[3] for r in rows]), np.array([r[6] for r in rows], float), registers(r[7] for r in rows)
+    _, group = np.unique(np.array([r[5] for r in rows], object), return_inverse=True)
+    wide, by_register = own // WIDE, np.ascontiguousarray(sig.T)
+    least = percent / 100 - SLACK
+    found, blocks = [np.empty(0, np.int64)], int(own.max()) + 1
+    for lo in range(0, n, 128):
+        hi = min(n, lo + 128)
+        # Members come by size; a set can't have a partner of more than 100 / percent times its own size.
+        end = int(np.searchsorted(size, size[hi - 1] * 100 / percent + 1e-6, "right"))
+        agreeing = np.zeros((hi - lo, end - lo), np.uint8)
+        for register in by_register:
+            agreeing += register[lo:hi, None] == register[None, lo:end]
+        fits = (agreeing >= int(least * REGISTERS)) & (group[lo:hi, None] != group[None, lo:end])
+        if i != j:
+            fits &= wide[lo:hi, None] != wide[None, lo:end]
+        x, y = np.nonzero(fits)
+        near = corrected(agreeing[x, y], size[x + lo], size[y + lo]) >= least
+        x, y = x[near] + lo, y[near] + lo
+        both = np.minimum(own[x], own[y]) * blocks + np.maximum(own[x], own[y])
+        found.append(np.unique(np.concatenate([both * n + x, both * n + y])))
+    code = np.unique(np.concatenate(found))
+    at, both = (code % n).tolist(), code // n
+    columns = [[cluster] * len(code), both // blocks, both % blocks, own[at] if at else [], [rows[k][4] for k in at], [rows[k][5] for k in at]]
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["_cluster", "_i", "_j", "_own", "_node", "_root"])
+
+
 def as_pairs(out: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["_hub", "_node"])
 
@@ -211,11 +263,19 @@ def links_within(block: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row of docs of each component, that of the smallest id, with all columns of docs."""
-    found = near_duplicates(docs, id_col, text_col, width, percent)
+    """One row of docs of each component, that of the smallest id, with all columns of docs, whatever their names.
+
+    Texts without words (or null) are near nothing; of rows that repeat an id and text one stays, with words or
+    without; an empty table stays empty.
+    """
+    found = stored(near_duplicates(docs, id_col, text_col, width, percent), "found")
     # One row stands for a component also where an id or a whole row repeats.
     one = found.where("kept").groupBy(F.col(id_col).alias("_i"), "_root", F.when(F.col("n_shingles") == 0, F.col("_hash")).alias("_bare")).agg(F.min("_hash").alias("_h")).select("_i", "_h")
+    times = found.groupBy(F.col(id_col).alias("_ti"), F.col("_hash").alias("_th")).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
     own = packed(docs, F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"))
-    met = own.join(one, same(F.col("_id"), F.col("_i")) & (F.col("_hash") == F.col("_h")))
-    order = F.row_number().over(Window.partitionBy("_i", "_h").orderBy("_h"))
-    return met.withColumn("_first", order).where(F.col("_first") == 1).select("_row.*")
+    met = only(own, one, same(F.col("_id"), F.col("_i")) & (F.col("_hash") == F.col("_h")))
+    if times.isEmpty():
+        return met.select("_row.*")
+    on = same(F.col("_id"), F.col("_ti")) & (F.col("_hash") == F.col("_th"))
+    first = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))
+    return without(met, times, on).select("_row.*").unionByName(only(met, times, on).withColumn("_first", first).where(F.col("_first") == 1).select("_row.*"))
