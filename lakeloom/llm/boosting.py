@@ -21,7 +21,7 @@ def fit_trees(x: np.ndarray, n: np.ndarray, y: np.ndarray, depth: int = 2) -> tu
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-score))
         tree = grown(x, y - n * p, n * p * (1 - p), np.ones(len(x), bool), depth)
-        score += np.array([value_of(tree, row) for row in x])
+        score += values_of(tree, x)
         trees.append(tree)
     return base, trees
 
@@ -42,14 +42,19 @@ def grown(x: np.ndarray, g: np.ndarray, h: np.ndarray, here: np.ndarray, depth:
     return ("split", best[1], best[2], grown(x, g, h, left, depth - 1), grown(x, g, h, here & ~left, depth - 1))
 
 
-def value_of(node: Node, row: np.ndarray) -> float:
-    while node[0] == "split":
-        node = node[3] if row[node[1]] <= node[2] else node[4]
-    return node[1]
+def values_of(node: Node, x: np.ndarray) -> np.ndarray:
+    """The tree's value of each row."""
+    if node[0] == "leaf":
+        return np.full(len(x), node[1])
+    return np.where(x[:, node[1]] <= node[2], values_of(node[3], x), values_of(node[4], x))
+
+
+def totals(base: float, trees: list[Node], x: np.ndarray) -> np.ndarray:
+    return base + sum((values_of(t, x) for t in trees), np.zeros(len(x)))
 
 
 def total(base: float, trees: list[Node], row: np.ndarray) -> float:
-    return base + sum(value_of(t, row) for t in trees)
+    return float(totals(base, trees, np.asarray(row)[None])[0])
 
 
 def as_column(base: float, trees: list[Node], features: list[Column]) -> Column:
