@@ -6,7 +6,8 @@ a language the bundle of its training texts, each scaled to unit length. A text
 the largest cosine with it.
 
 A bundle is the sum over distinct n-grams of count times vector, so n-grams are counted first, and a worker keeps the
-vectors of frequent n-grams. Texts are cut into pieces, so memory doesn't grow with their length.
+vectors of frequent n-grams. Texts are read in pieces, so memory doesn't grow with their length; the last letters of a
+piece are carried over, so a text has the same n-grams wherever it is cut.
 """
 
 from __future__ import annotations
@@ -71,22 +72,30 @@ def letter_table() -> np.ndarray:
     return LETTERS
 
 
-def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram codes of a text and their counts: lower-cased letters, anything else as one blank between."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    points = np.where(letter_table()[points], points, SPACE)
-    points = points[np.append(True, (points[1:] != SPACE) | (points[:-1] != SPACE))]
-    if len(points) < N:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    code = sum(points[i : len(points) - N + 1 + i] << np.int64(21 * i) for i in range(N))
-    return np.unique(code, return_counts=True)
+def letters(text: str) -> np.ndarray:
+    """Code points of lower-cased letters, anything else as a blank. Lower-casing looks at single letters only (a final
+    sigma is one like any), so it doesn't depend on what stands beside a piece."""
+    points = np.frombuffer(text.lower().replace("\u03c2", "\u03c3").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.where(letter_table()[points], points, SPACE)
+
+
+def grams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct n-gram codes of each piece of a text and their counts; a blank stands before, after and between words."""
+    carried = np.array([SPACE], np.int64)
+    for lo in range(0, len(text) + 1, PIECE):
+        piece = letters(text[lo : lo + PIECE])
+        # Python has code points of a text as its items, so a cut never splits one; the end closes the last word.
+        points = np.concatenate([carried, piece, [SPACE] if lo + PIECE > len(text) else []]).astype(np.int64)
+        points = points[np.append(True, (points[1:] != SPACE) | (points[:-1] != SPACE))]
+        if len(points) >= N:
+            yield np.unique(sum(points[i : len(points) - N + 1 + i] << np.int64(21 * i) for i in range(N)), return_counts=True)
+        carried = points[-(N - 1) :]
 
 
 def bundle(text: str | None, vectors: Vectors) -> np.ndarray | None:
     """The bundle of a text's n-grams; None if it has no letter."""
     out, any_letter = np.zeros(DIMENSIONS, np.float32), False
-    for lo in range(0, len(text or ""), PIECE):
-        codes, counts = grams(text[lo : lo + PIECE])
+    for codes, counts in grams(text or ""):
         any_letter |= bool(len(codes))
         for at in range(0, len(codes), 4096):
             out += counts[at : at + 4096].astype(np.float32) @ vectors.of(codes[at : at + 4096]).astype(np.float32)
@@ -149,8 +158,10 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """One row per document: `id_col`, held_out, lang_pred, score (the cosine, from 0 to 1).
 
-    A null text or one without letters gets `und` and 0, as does every text if there is nothing to learn from. A null
-    id is not held out. Repeated rows give repeated results; other columns are not read.
+    A null or empty text or one without letters gets `und` and 0, as does every text if there is nothing to learn from
+    (an empty table gives an empty result). Texts of any length are read whole. Of equal cosines the first language by
+    name wins. A null id is not held out. Repeated rows give repeated results; other columns are not read, so their
+    names can't clash.
     """
     model = fit_languages(docs, id_col, text_col, lang_col, sample)
     predict = iterated(model)
