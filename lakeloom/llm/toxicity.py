@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed
+from .common import packed, stored
 
 #: Labelled rows that the fit reads at most, by the order of a hash of the id.
 SAMPLE = 8000
-#: Prefix features at most, and the least log-likelihood ratio and number of toxic texts of each.
-FEATURES, LEAST_G, LEAST_DF = 300, 12.0, 4
+#: The least log-likelihood ratio and number of toxic texts of a feature; all that reach them enter.
+LEAST_G, LEAST_DF = 12.0, 4
 #: Feature numbers: four times a hash, plus the prefix's length less four.
 SPACE = 1 << 18
 #: A rate counts hits among so many words.
@@ -89,58 +90,89 @@ class ToxicityModel:
         return pd.DataFrame({"severity": out.sum(axis=1), "grade": grade.astype(np.int32), "p_toxic": out[:, 0], "rejected": grade > 0})
 
 
-def counted(texts: pd.Series) -> pd.DataFrame:
-    """Distinct features of each text with their counts, as bytes, and the number of words."""
-    found, rows = Prefixes(), []
-    for text in texts:
-        own = words(text)
-        c = Counter(x for w in own for x in found[w])
-        rows.append((np.fromiter(c, np.int32, len(c)).tobytes(), np.fromiter(c.values(), np.int32, len(c)).tobytes(), len(own)))
-    return pd.DataFrame(rows, columns=["f", "c", "n"])
+def counted(text: str, found: Prefixes) -> tuple[Counter, int]:
+    """Features of a text with their counts, and the number of words."""
+    own = words(text)
+    return Counter(x for w in own for x in found[w]), len(own)
+
+
+def texts_with(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(f, y, n): in how many texts of a label each feature is; at most 2 * SPACE rows whatever the input."""
+    found, seen = Prefixes(), np.zeros((2, SPACE), np.int64)
+    for frame in frames:
+        for y, text in zip(frame["y"], frame["t"], strict=True):
+            seen[int(y), list(counted(text, found)[0])] += 1
+    y, f = np.nonzero(seen)
+    yield pd.DataFrame({"f": f.astype(np.int32), "y": y.astype(bool), "n": seen[y, f]})
+
+
+def chosen_only(features: list[int]):
+    """(id, y, f, c, n): the features that were chosen, with their counts, as bytes, and the number of words."""
+
+    def of(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = Prefixes(dict.fromkeys(features, 0))
+        for frame in frames:
+            rows = []
+            for h, y, text in zip(frame["h"], frame["y"], frame["t"], strict=True):
+                c, n = counted(text, found)
+                rows.append((h, y, np.fromiter(c, np.int32, len(c)).tobytes(), np.fromiter(c.values(), np.int32, len(c)).tobytes(), n))
+            yield pd.DataFrame(rows, columns=["h", "y", "f", "c", "n"])
+
+    return of
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:
     """Learns from at most `sample` labelled documents, chosen by the order of a hash of their ids.
 
-    Rows with a null id, label or text are not used, and of an id with several labels the largest counts. Without
-    toxic or without clean documents the model finds everything clean.
+    Rows with a null id, label or text are not used; of an id with several labels the largest counts, and of an id
+    with several texts the one with the least hash. Features are counted on the executors; the driver gets one number
+    a feature and label, then the chosen features of each sample text. Without toxic or without clean documents, or
+    without any, the model finds everything clean.
     """
     chosen = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(toxic_col).alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
-    count = F.pandas_udf(counted, "f binary, c binary, n int")
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"))
     # At most `sample` labels are broadcast.
-    got = texts.join(F.broadcast(chosen), "_id").select("_id", "_y", count("_t").alias("x")).select("_id", "_y", "x.*").collect()
-    got.sort(key=lambda r: (r["_id"], r["n"]))
-    return fitted([(np.frombuffer(r["f"], np.int32), np.frombuffer(r["c"], np.int32), r["n"]) for r in got], np.array([r["_y"] > 0 for r in got], bool))
-
-
-def fitted(rows: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, steps: int = 800, ridge: float = 1e-4) -> ToxicityModel:
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    never = ToxicityModel({}, np.zeros(2), np.array([50.0, 50.0]))
-    if not n1 or not n0:
-        return never
-    df = np.zeros((2, SPACE))
-    for (f, _, _), y in zip(rows, toxic, strict=True):
-        df[int(y), f] += 1
-    # Twice the log-likelihood ratio of a feature's presence in toxic and clean texts.
-    n, seen = np.array([[n0], [n1]], float), df.sum(axis=0)
+    met = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("_t"), F.first("_y").alias("_y"))
+    met = stored(met.select(F.xxhash64("_id").alias("h"), (F.col("_y") > 0).alias("y"), F.col("_t.t").alias("t")), "sample")
+    sizes = {r["y"]: r["n"] for r in met.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = sizes.get(False, 0), sizes.get(True, 0)
+    if not n0 or not n1:
+        return never_toxic()
+    seen = met.select("y", "t").mapInPandas(texts_with, "f int, y boolean, n long").groupBy("f").agg(F.sum(F.when(F.col("y"), F.col("n"))).alias("n1"), F.sum("n").alias("n"))
+    table = seen.where(F.col("n1") >= LEAST_DF).toArrow()
+    f, with1, with_ = (table.column(i).to_numpy() for i in range(3))
+    features = significant(f, with_ - with1, with1, n0, n1)
+    got = met.mapInPandas(chosen_only(features), "h long, y boolean, f binary, c binary, n int").collect()
+    got.sort(key=lambda r: (r["h"], r["n"]))
+    return fitted(features, [(np.frombuffer(r["f"], np.int32), np.frombuffer(r["c"], np.int32), r["n"]) for r in got], np.array([r["y"] for r in got], bool))
+
+
+def never_toxic() -> ToxicityModel:
+    return ToxicityModel({}, np.zeros(2), np.array([50.0, 50.0]))
+
+
+def significant(f: np.ndarray, with0: np.ndarray, with1: np.ndarray, n0: int, n1: int) -> list[int]:
+    """The features that are clearly more frequent in toxic texts, by twice the log-likelihood ratio of their presence."""
+    df, n = np.array([with0, with1], float).reshape(2, -1), np.array([[n0], [n1]], float)
+    seen = df.sum(axis=0)
     part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0)
     g = 2 * (part(df, n * seen / n.sum()) + part(n - df, n * (1 - seen / n.sum()))).sum(axis=0)
-    best = np.flatnonzero((g >= LEAST_G) & (df[1] >= LEAST_DF) & (df[1] * n0 > df[0] * n1))
-    best = best[np.argsort(-g[best], kind="stable")][:FEATURES]
-    if not len(best):
-        return never
-    k = len(best)
-    model = ToxicityModel({int(f): i for i, f in enumerate(best)}, np.zeros(2 * k + 2), np.array([2.0, 4.0]))
+    best = (g >= LEAST_G) & (df[1] >= LEAST_DF) & (df[1] * n0 > df[0] * n1)
+    order = np.lexsort((f[best], -g[best]))
+    return f[best][order].tolist()
+
+
+def fitted(features: list[int], rows: list[tuple[np.ndarray, np.ndarray, int]], toxic: np.ndarray, steps: int = 800, ridge: float = 1e-4) -> ToxicityModel:
+    """The model by the chosen features, their counts and the number of words of each text."""
+    if not features:
+        return never_toxic()
+    k = len(features)
+    model = ToxicityModel({f: i for i, f in enumerate(features)}, np.zeros(2 * k + 2), np.array([2.0, 4.0]))
     x, share = np.zeros((len(rows), 2 * k + 2), np.float32), np.zeros(len(rows))
-    is_best = np.zeros(SPACE, bool)
-    is_best[best] = True
     for i, (f, c, n_words) in enumerate(rows):
-        mine = is_best[f]
-        own = list(zip(f[mine].tolist(), c[mine].tolist(), strict=True))
-        if own:
-            at, value, hits = model.vector([a for a, _ in own], [b for _, b in own], n_words)
+        if len(f):
+            at, value, hits = model.vector(f.tolist(), c.tolist(), n_words)
             x[i, at] = value
             share[i] = hits / max(n_words, 1)
     grade = np.where(toxic, 1 + (share >= np.median(share[toxic])), 0)
@@ -175,15 +207,17 @@ def toxicity(text: Column, model: ToxicityModel) -> Column:
 def grade_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """One row per document: `id_col`, severity, grade (0 to 2), p_toxic, rejected (grade over 0).
 
-    Null and empty texts are clean; repeated rows give repeated results; an empty table gives an empty result. Other
-    columns are not read.
+    Null and empty texts are clean, and texts of any length are read whole; a probability of exactly one half counts
+    for the higher grade. Repeated rows give repeated results; an empty table gives an empty result. Other columns are
+    not read, so their names can't clash.
     """
     model = fit_toxicity(docs, labels, id_col, text_col, sample=sample)
     return docs.select(F.col(id_col), toxicity(F.col(text_col), model).alias("_r")).select(F.col(id_col), "_r.*")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs that aren't rejected, with all columns of docs."""
+    """The rows of docs that aren't rejected, repeated ones included, with all columns of docs, whatever their names.
+    Null and empty texts stay; an empty table stays empty."""
     model = fit_toxicity(docs, labels, id_col, text_col, sample=sample)
     graded = packed(docs, toxicity(F.col(text_col), model)["rejected"].alias("_rejected"))
     return graded.where(~F.col("_rejected")).select("_row.*")
