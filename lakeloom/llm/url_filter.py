@@ -1,26 +1,32 @@
 """URL filter: rules first, then host words by unigram Viterbi and multinomial naive Bayes.
 
-The lexicon has the most frequent words of the pages, counted over all of them. A host's labels are cut into words by
-the Viterbi path of the unigram model, in which an unknown word costs more the longer it is. Naive Bayes counts host
-words and path words over all pages that a rule judges, and judges the others by their log-odds.
+The lexicon has every word of the pages with its count over all of them. A host's labels are cut into words by the
+Viterbi path of the unigram model, in which an unknown word costs more the longer it is. Naive Bayes counts host words
+and path words over all pages that a rule judges, and judges the others by their log-odds.
+
+Both tables are DataFrames of any size. Their most frequent entries go to the workers, at most LEXICON and TOKENS;
+hosts and urls that may need others get them by a join, so the result is that of the whole tables.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import lower_ascii, stored
 
 #: (verdict, host, path); a rule's name is its host and path.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-#: Words of the lexicon and tokens of the classifier at most, the most frequent first; letters of a word at most.
-LEXICON, TOKENS, LONGEST = 50_000, 50_000, 24
+#: Words of the lexicon and tokens of the classifier that workers hold, the most frequent first; others are joined.
+LEXICON, TOKENS = 50_000, 50_000
+#: Characters of a label of the domain name system at most, so no longer word can be in one.
+LONGEST = 63
+RUN = re.compile(r"[^\W\d_]+")
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -39,28 +45,29 @@ def first_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
     return out
 
 
-def word_counts(texts: DataFrame, col: str, most: int) -> dict[str, int]:
-    """The `most` most frequent words of plain letters over all texts, markup left out."""
+def word_counts(texts: DataFrame, col: str) -> DataFrame:
+    """(w, n): every lower-cased word of letters with its count over all texts, markup left out."""
     words = texts.select(F.explode(F.split(F.lower(F.regexp_replace(F.coalesce(F.col(col), F.lit("")), "<[^>]*+>", " ")), r"[^\p{L}]+")).alias("w"))
-    words = words.where(F.length("w").between(2, LONGEST))
-    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("w").rlike("^[a-z]+$"))
-    return {r["w"]: r["n"] for r in counted.orderBy(F.desc("n"), "w").limit(most).collect()}
+    return words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
 class Segmenter:
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
-        self.cost = {w: math.log(total / n) for w, n in counts.items()}
-        self.unknown = math.log(10 * total)
+    """`counts` has words of the lexicon, `total` the sum of all its counts; more words may come with each run."""
+
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.total = total or sum(counts.values()) or 1
+        self.cost = {w: math.log(self.total / n) for w, n in counts.items()}
+        self.unknown = math.log(10 * self.total)
 
-    def words(self, run: str) -> list[str]:
+    def words(self, run: str, more: dict[str, int] | None = None) -> list[str]:
         """The cheapest cut of a run of letters; of equal ones that with the longest last words."""
+        cost = self.cost | {w: math.log(self.total / n) for w, n in more.items()} if more else self.cost
         best, back = [0.0], [0]
         for i in range(1, len(run) + 1):
             least = (math.inf, 0)
             for j in range(max(0, i - LONGEST), i):
                 w = run[j:i]
-                least = min(least, (best[j] + self.cost.get(w, self.unknown + 2.3 * len(w)), j))
+                least = min(least, (best[j] + cost.get(w, self.unknown + 2.3 * len(w)), j))
             best.append(least[0])
             back.append(least[1])
         out, i = [], len(run)
@@ -69,68 +76,114 @@ class Segmenter:
             i = back[i]
         return out[::-1]
 
-    def host_words(self, host: str) -> list[str]:
+    def host_words(self, host: str, more: dict[str, int] | None = None) -> list[str]:
         """Words of all labels but the last one."""
-        labels = host.split(".")
-        return [w for label in labels[: max(1, len(labels) - 1)] for run in re.findall(r"[a-z]+", label) for w in self.words(run)]
+        return [w for run in runs(host) for w in self.words(run, more)]
+
+
+def runs(host: str) -> list[str]:
+    """The runs of letters, lower-cased, in all labels of a host but the last one."""
+    labels = host.lower().split(".")
+    return [run for label in labels[: max(1, len(labels) - 1)] for run in RUN.findall(label)]
 
 
 def path_words(path: str) -> list[str]:
     """Letters of the path's parts; every number is one token."""
-    return ["#" if w[0].isdigit() else w for w in re.findall(r"[a-z]+|[0-9]+", path.lower())]
+    return ["#" if w[0].isdigit() else w for w in re.findall(r"[^\W\d_]+|[0-9]+", path.lower())]
 
 
-def tokens(segmenter: Segmenter) -> Callable[[Iterator[tuple[pd.Series, pd.Series]]], Iterator[pd.Series]]:
-    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def tokens(segmenter: Segmenter) -> Callable[[Iterator[tuple[pd.Series, ...]]], Iterator[pd.Series]]:
+    def of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         known: dict[str, list[str]] = {}
-        for hosts, paths in batches:
+        for hosts, paths, mores in batches:
             out = []
-            for host, path in zip(hosts, paths, strict=True):
+            for host, path, more in zip(hosts, paths, mores, strict=True):
                 if host not in known:
                     if len(known) >= 100_000:
                         known.clear()
-                    known[host] = [f"h:{w}" for w in segmenter.host_words(host)]
+                    known[host] = [f"h:{w}" for w in segmenter.host_words(host, dict(more) if more is not None else None)]
                 out.append(known[host] + [f"p:{w}" for w in path_words(path)])
             yield pd.Series(out)
 
     return of
 
 
-def judge(log_odds: dict[str, float], prior: float) -> Callable[[pd.Series], pd.Series]:
-    return lambda rows: pd.Series([prior + sum(log_odds.get(t, 0.0) for t in row) for row in rows], dtype=float)
+def candidates(hosts: pd.Series) -> pd.Series:
+    """All strings of a host that Viterbi may look up."""
+    return pd.Series([sorted({run[j:i] for run in runs(h) for i in range(2, len(run) + 1) for j in range(max(0, i - LONGEST), i - 1)}) for h in hosts])
+
+
+def judge(log_odds: dict[str, float], prior: float) -> Callable[[pd.Series], pd.DataFrame]:
+    """The score by the tokens known here, and the others."""
+
+    def of(rows: pd.Series) -> pd.DataFrame:
+        scores = [prior + sum(log_odds.get(t, 0.0) for t in row) for row in rows]
+        return pd.DataFrame({"score": pd.Series(scores, dtype=float), "rest": [[t for t in row if t not in log_odds] for row in rows]})
+
+    return of
+
+
+def most_frequent(table: DataFrame, col: str, n: Column, most: int) -> tuple[list, DataFrame | None]:
+    """The `most` most frequent rows, and the others as a DataFrame (None if there are none)."""
+    top = table.orderBy(F.desc(n), col).limit(most).collect()
+    if len(top) < most or table.count() == most:
+        return top, None
+    last = top[-1]
+    return top, table.where((n < last["_f"]) | ((n == last["_f"]) & (F.col(col) > last[col])))
 
 
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """One row per page: `id_col`, host, path, rule, verdict, host_words, score.
 
-    score is the log-odds of allow against block by naive Bayes; the verdict is that of the longest rule that fits,
-    else allow if score is at least 0. A url that is null or has no `://` has an empty host and path. Without pages
-    that rules judge, the score is 0. Repeated rows give repeated results; other columns are not read.
+    score is the log-odds of allow against block by naive Bayes; the verdict is that of the longest rule that fits
+    (of equally long ones the last by name), else allow if score is at least 0, ties included. A url that is null,
+    empty or has no `://` has an empty host and path; null or empty html adds no words, and long ones are read whole.
+    Without pages that rules judge, the score is 0. Repeated rows give repeated results, and count as often as they
+    come. An empty table gives an empty result. Other columns are not read, so their names can't clash.
     """
-    segmenter = Segmenter(word_counts(pages, html_col, LEXICON))
     host, path = parts(F.col(url_col))
-    split = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
+    split = pages.select(F.col(id_col).alias("_id"), host.alias("host"), path.alias("path"))
+    lexicon = stored(word_counts(pages, html_col).withColumn("_f", F.col("n")), "lexicon")
+    top, rare = most_frequent(lexicon, "w", F.col("_f"), LEXICON)
+    total = lexicon.agg(F.sum("n")).first()[0]
+    segmenter = Segmenter({r["w"]: r["n"] for r in top}, total)
+    if rare is None:
+        split = split.withColumn("_more", F.lit(None).cast("map<string,bigint>"))
+    else:
+        looked_up = split.select("host").distinct().select("host", F.explode(F.pandas_udf(candidates, "array<string>")("host")).alias("w"))
+        more = looked_up.join(rare, "w").groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("w", "n"))).alias("_more"))
+        # Stored, so both sides of the join are plain exchanges and the rows of a frequent host can be split.
+        split = split.join(stored(more, "rare-words"), "host", "left")
     ruled = split.withColumn("_r", first_rule(F.col("host"), F.col("path"), rules))
-    tokenised = ruled.withColumn("_t", F.pandas_udf(iterator_typed(tokens(segmenter)), "array<string>")("host", "path"))
+    tokenised = ruled.withColumn("_t", F.pandas_udf(iterator_typed(tokens(segmenter)), "array<string>")("host", "path", "_more"))
 
     labelled = tokenised.where(F.col("_r").isNotNull()).select((F.col("_r.verdict") == "allow").cast("int").alias("y"), "_t")
     met = labelled.select("y", F.explode(F.concat(F.array(F.lit("")), "_t")).alias("t"))  # '' counts the pages
-    counts = met.groupBy("t").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    table = counts.orderBy((F.col("t") != "").cast("int"), F.desc(F.col("a") + F.col("b")), "t").limit(TOKENS).collect()
-    seen = {r["t"]: (r["a"], r["b"]) for r in table}
-    pages_of = seen.pop("", (0, 0))
-    prior = math.log((pages_of[0] + 1) / (pages_of[1] + 1)) if sum(pages_of) else 0.0
-    n_a, n_b = (sum(c[i] for c in seen.values()) + len(seen) + 1 for i in (0, 1))
-    log_odds = {t: math.log((a + 1) / n_a) - math.log((b + 1) / n_b) for t, (a, b) in seen.items()}
-
-    scored = tokenised.withColumn("score", F.pandas_udf(judge(log_odds, prior), "double")("_t"))
+    counts = stored(met.groupBy("t").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).withColumn("_f", F.col("a") + F.col("b")), "tokens")
+    pages_of = next(iter(counts.where("t = ''").collect()), None)
+    prior = math.log((pages_of["a"] + 1) / (pages_of["b"] + 1)) if pages_of else 0.0
+    counts = counts.where("t != ''")
+    sums = counts.agg(F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0)), F.count(F.lit(1))).first()
+    n_a, n_b = sums[0] + sums[2] + 1, sums[1] + sums[2] + 1
+    frequent, others = most_frequent(counts, "t", F.col("_f"), TOKENS)
+    log_odds = {r["t"]: math.log((r["a"] + 1) / n_a) - math.log((r["b"] + 1) / n_b) for r in frequent}
+
+    scored = tokenised.withColumn("_s", F.pandas_udf(judge(log_odds, prior), "score double, rest array<string>")("_t")).select("_id", "host", "path", "_r", "_t", "_s.*")
+    if others is None:
+        scored = scored.withColumn("_add", F.lit(0.0))
+    else:
+        odds = others.select("t", (F.log((F.col("a") + 1) / n_a) - F.log((F.col("b") + 1) / n_b)).alias("_o"))
+        asked = scored.where(F.size("rest") > 0).select("host", "path", "rest").distinct().select("host", "path", F.explode("rest").alias("t"))
+        add = stored(asked.join(odds, "t").groupBy("host", "path").agg(F.sum("_o").alias("_add")), "rare-tokens")
+        scored = scored.join(add, ["host", "path"], "left").withColumn("_add", F.coalesce("_add", F.lit(0.0)))
+    scored = scored.withColumn("score", F.col("score") + F.col("_add"))
     own = F.when(F.col("score") >= 0, "allow").otherwise("block")
     host_words = F.array_join(F.transform(F.filter("_t", lambda t: t.startswith("h:")), lambda t: F.substr(t, F.lit(3))), " ")
-    return scored.select(id_col, "host", "path", F.col("_r.rule").alias("rule"), F.coalesce("_r.verdict", own).alias("verdict"), host_words.alias("host_words"), "score")
+    return scored.select(F.col("_id").alias(id_col), "host", "path", F.col("_r.rule").alias("rule"), F.coalesce("_r.verdict", own).alias("verdict"), host_words.alias("host_words"), "score")
 
 
 def iterator_typed(f: Callable) -> Callable:
-    def typed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def typed(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         yield from f(batches)
 
     return typed
