@@ -86,6 +86,15 @@ def parsed_path(path: Column) -> Column:
     return F.map_from_entries(F.transform(parts, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.regexp_replace(p, "^[^=]*=", "").alias("v"))))
 
 
+#: The parts that a path of the lake has.
+PATH_KEYS = ["site", "country", "dataset", "year", "month", "day", "bucket"]
+
+
+def missing_keys(path: Column) -> Column:
+    """The required parts that a path lacks."""
+    return F.array_except(F.array(*[F.lit(k) for k in PATH_KEYS]), F.map_keys(parsed_path(path)))
+
+
 def scope_token(site: Column, dataset: Column, kind: Column, key: Column) -> Column:
     return F.concat_ws("|", site, dataset, kind, key)
 

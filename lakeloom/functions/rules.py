@@ -56,6 +56,7 @@ def should_crawl(status: Column) -> Column:
     return status.isin("INCOMPLETE", "FAILED_RETRYABLE")
 
 
+# The reasons that the rules below give.
 def retention(kind: Column, created_at: Column, durable: Column, failed: Column, lifecycle: Column, now: Column, keep_failures: bool = True, manifest_days: int = 30, rollback_days: int = 7, archive_first: bool = True, dry_run: bool = True) -> Column:
     """struct(decision, allowed, reason) of an artifact; whole days of age count."""
     age = F.floor((F.unix_timestamp(now) - F.unix_timestamp(created_at)) / 86400)
@@ -138,3 +139,17 @@ def month_status(state: Column) -> Column:
         .when(is_true("$.free_access_complete") & (reason == "free_access_boundary"), "free_access")
         .when(reason.isin("http_failure", "parser_failure", "interrupted"), "failed").otherwise("partial")
     )
+
+
+def run_plan_guard(instruments: Column, confirmed: Column, pending: Column, large: int = 100) -> Column:
+    """struct(allowed, reason): whether a run of so many instruments may start."""
+    say = lambda r: F.struct(F.lit(not r).alias("allowed"), F.lit(r).alias("reason"))
+    return (
+        F.when(instruments < 1, say("instruments must be 1 or more")).when((instruments > large) & ~F.coalesce(confirmed, F.lit(False)), say("a large run needs confirmation"))
+        .when(pending > 0, say("recovery is still pending")).otherwise(say(""))
+    )
+
+
+def counter_of(state: Column, *paths: str) -> Column:
+    """The first whole number that a JSON text has at one of the paths, else 0."""
+    return F.coalesce(*[F.get_json_object(state, p).try_cast("bigint") for p in paths], F.lit(0).cast("bigint"))

@@ -84,3 +84,13 @@ def first_plain_part(c: Column) -> Column:
     parts = F.transform(F.split(c, r"\|"), strip)
     ok = F.filter(parts, lambda p: (p != "") & ~p.rlike(r"^\d{2,4}[./-]\d{1,2}[./-]\d{1,2}") & ~p.rlike(r"(?i)^(조회|views?)"))
     return F.try_element_at(ok, F.lit(1))
+
+
+def compact_json(c: Column) -> Column:
+    """JSON without blanks between its parts; the order of its keys stays. Text that isn't JSON is null."""
+    return F.to_json(F.try_parse_json(c))
+
+
+def sort_text(c: Column) -> Column:
+    """A value as text that sorts, '' for null."""
+    return F.coalesce(c.cast("string"), F.lit(""))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..model import COLUMNS, RECORD
 from ..sources import catalog
-from ..sources.files import plain_path
+from ..sources.files import decoded, plain_path
 
 GROUP = ["site_id", "country", "dataset", "partition_date", "bucket"]
 
@@ -57,7 +57,7 @@ def read_group(spark: SparkSession, chosen: DataFrame) -> DataFrame:
     one that can't be read and one with other rows than the catalog says are errors."""
     paths = [r[0] for r in chosen.select(F.coalesce("remote_path", "file_path")).collect()]
     rows = spark.read.schema(RECORD).parquet(*paths)
-    rows = rows.withColumns({"_file": plain_path(F.col("_metadata.file_path")), "_pos": F.col("_metadata.row_index")})
+    rows = rows.withColumns({"_file": plain_path(decoded(F.col("_metadata.file_path"))), "_pos": F.col("_metadata.row_index")})
     ids = chosen.select(*[F.col(c).alias(f"_{c}") for c in GROUP], plain_path(F.coalesce("remote_path", "file_path")).alias("_path"), F.col("id").alias("_id"), "row_count")
     counted = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).join(ids, F.col("_file") == F.col("_path"), "full_outer")
     wrong = counted.where(F.coalesce("n", F.lit(0)) != F.coalesce("row_count", F.lit(-1))).select(F.coalesce("_path", "_file").alias("path"), "n", "row_count").limit(3).collect()

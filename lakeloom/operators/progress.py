@@ -46,3 +46,20 @@ def queue_gauges(samples: DataFrame) -> DataFrame:
 
 def status_counts(plan: DataFrame) -> DataFrame:
     return plan.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def activity(events: DataFrame) -> DataFrame:
+    """Per dataset what was stored: events of kind `file` (with n_bytes) and `record`."""
+    file = F.col("kind") == "file"
+    return events.groupBy("dataset").agg(F.count_if(file).alias("n_files"), F.coalesce(F.sum(F.when(file, F.col("n_bytes"))), F.lit(0)).alias("n_bytes"), F.count_if(F.col("kind") == "record").alias("n_records"))
+
+
+def run_manifest(state: DataFrame, run_id: str) -> DataFrame:
+    """One row: the run, its datasets and the sums of their counters."""
+    names = [c for c in ("total", "durable", "runtime_done", "running", "blocked", "failed", "records", "files", "bytes") if c in state.columns]
+    return state.agg(F.lit(run_id).alias("run_id"), F.count(F.lit(1)).alias("datasets"), *[F.sum(c).alias(c) for c in names])
+
+
+def write_manifest(state: DataFrame, run_id: str, path: str) -> None:
+    """The manifest as JSON."""
+    run_manifest(state, run_id).coalesce(1).write.mode("overwrite").json(path)

@@ -92,6 +92,12 @@ def next_stage(stages: DataFrame, completed: DataFrame) -> DataFrame:
     return stages.join(completed, "stage", "left_anti").orderBy("pos").limit(1)
 
 
+def stage_size(instruments: DataFrame, least: int, most: int) -> DataFrame:
+    """One row: how many different instruments a stage has, and whether that is within its bounds."""
+    n = F.count_distinct(F.when(F.trim("instrument_id") != "", F.trim("instrument_id")))
+    return instruments.agg(n.alias("n_instruments")).withColumn("valid", F.col("n_instruments").between(least, most))
+
+
 def nested_prefixes(universe: DataFrame, sizes: Sequence[int]) -> DataFrame:
     """(stage_size, instrument_id, pos): the first n of the universe for each size; smaller ones lie in larger ones."""
     place = F.row_number().over(Window.orderBy("pos"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,22 +11,13 @@ from .functions import dates, extract, identity, rules, sites, text
 from .model import DATASETS
 from .operators import audit, cdc, latest, progress, relations, streaks
 from .plans import query
+from .registry import scratch, table
 from .sources import catalog, lake
 from .streaming import ingest
 
 FORUM, NEWS = DATASETS["forum_post"], DATASETS["news_article"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared one; a local one only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeloom-")
-    return f"{base.rstrip('/')}/lake-{uuid.uuid4().hex}"
-
-
 def text_time(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 

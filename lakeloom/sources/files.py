@@ -14,16 +14,18 @@ from ..functions import rules
 WORKERS = 8
 
 
+def decoded(uri: Column) -> Column:
+    """The path of a URI such as _metadata.file_path has (file:///a%20b), as it is written."""
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
+
+
 def plain_path(path: Column) -> Column:
-    """A path as it is written, whether it comes as a URI (file:///a%20b) or plainly (/a b): decoded, without the
-    scheme of local files and without doubled slashes after it."""
-    uri = path.rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
-    decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
-    return F.regexp_replace(F.when(uri, decoded).otherwise(path), "^file:/+", "/")
+    """A path in one form: file:///a, file:/a and /a are the same file."""
+    return F.regexp_replace(path, "^file:/+", "/")
 
 
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(path) if "%" in path and ":" in path else path)
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def size_of(spark: SparkSession, path: str) -> int | None:
@@ -66,7 +68,7 @@ def uploaded(spark: SparkSession, files: DataFrame, root: str, dry_run: bool = F
     copied(spark, todo)
     if not todo:
         return rows.select("file_path", "remote_path", F.lit("verified").alias("status"))
-    there = spark.read.format("binaryFile").load([t.replace(",", "\\,") for _, t, _ in todo])
+    there = spark.read.format("binaryFile").load([t for _, t, _ in todo])
     sums = there.select(plain_path(F.col("path")).alias("_p"), F.sha2("content", 256).alias("_sha"))
     met = rows.withColumn("_p", plain_path(F.col("remote_path"))).join(sums, "_p", "left")
     return met.select("file_path", "remote_path", F.when(F.col("_sha") == F.col("sha256"), "verified").otherwise("uploaded").alias("status"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -70,7 +71,9 @@ def identified(own: DataFrame) -> DataFrame:
     uid = ident.record_uid(F.col("site_id"), F.col("dataset"), F.col("_it"), F.col("_ii"), F.col("source_id"))
     names = ["site_id", "dataset", "source_id", "instrument_id", "event_time", "updated_at", "title", "content", "author_id", "author_name", "source_url", "payload_json"]
     version = ident.version_hash(scope_type=F.col("_it"), scope_id=F.col("_ii"), relation_text=F.col("_rel"), **{n: F.col(n) for n in names})
-    return own.withColumns({"record_uid": uid, "version_hash": version}).select(*COLUMNS)
+    # Without a payload or relations a record has empty ones; its version is that of none.
+    bare = {"payload_json": F.coalesce("payload_json", F.lit("{}")), "relations_json": F.coalesce("relations_json", F.lit("[]"))}
+    return own.withColumns({"record_uid": uid, "version_hash": version}).withColumns(bare).select(*COLUMNS)
 
 
 def sorted_json(payload: Column) -> Column:
@@ -110,7 +113,7 @@ def read_lake(spark: SparkSession, root: str) -> DataFrame:
 
 def files_of(records: DataFrame, spec: DatasetSpec) -> DataFrame:
     """A catalog row for each file that `records` (read from Parquet) comes from."""
-    meta = records.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+    meta = records.select("*", fs.decoded(F.col("_metadata.file_path")).alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
     date = ident.partition_date(ident.partition_time(spec, F.col("event_time"), F.col("updated_at"), F.col("crawled_at")), spec.granularity)
     bucket = ident.bucket_name(ident.stable_bucket(ident.bucket_key(F.col("instrument_id"), F.col("scope_id"), F.col("source_id")), spec.buckets), spec.buckets)
     out = meta.groupBy("file_path").agg(
@@ -122,6 +125,11 @@ def files_of(records: DataFrame, spec: DatasetSpec) -> DataFrame:
     return out.withColumn("schema_version", one).drop("_versions")
 
 
+def paths_of(read: DataFrame) -> list[str]:
+    """The files that a DataFrame reads, as they are written."""
+    return [unquote(p) for p in read.inputFiles()]
+
+
 def checksums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(file_path, sha256, file_size) of whole files."""
     files = spark.read.format("binaryFile").load(list(paths))
@@ -137,7 +145,7 @@ def with_checksums(spark: SparkSession, files: DataFrame, paths: Sequence[str])
 def checked_size(read: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of files whose size is the catalog's. Another size, or a file that the catalog doesn't have, is an error."""
     sizes = files.select(fs.plain_path(F.coalesce("remote_path", "file_path") if "remote_path" in files.columns else F.col("file_path")).alias("_path"), F.col("file_size").alias("_size"))
-    met = read.withColumns({"_p": fs.plain_path(F.col("_metadata.file_path")), "_s": F.col("_metadata.file_size")}).join(sizes, F.col("_p") == F.col("_path"), "left")
+    met = read.withColumns({"_p": fs.plain_path(fs.decoded(F.col("_metadata.file_path"))), "_s": F.col("_metadata.file_size")}).join(sizes, F.col("_p") == F.col("_path"), "left")
     fail = lambda why: F.raise_error(F.concat(F.lit(f"{why}: "), F.col("_p"))).cast("boolean")
     ok = F.when(F.col("_path").isNull(), fail("not in the catalog")).when(F.col("_s") == F.col("_size"), F.lit(True)).otherwise(fail("size differs from the catalog"))
     return met.where(ok).drop("_p", "_s", "_path", "_size")
@@ -264,11 +272,12 @@ def existing_ids(spark: SparkSession, path: str, column: str = "news_id") -> Dat
 
 def attachments(spark: SparkSession, paths: Sequence[str], most: int = 100 << 20) -> DataFrame:
     """(path, sha256, size, stored_path, problem): where each file belongs by its content; equal contents are one. Of a
-    file over `most` bytes the content isn't read, so it has a problem and no sha256."""
+    file over `most` bytes the content isn't read, so it has a problem and no sha256. Spark doesn't list files
+    without a byte."""
     listed = spark.read.format("binaryFile").load(list(paths))
     large = listed.where(F.col("length") > most).select("path", F.lit(None).cast("string").alias("sha256"), F.col("length").alias("size"), F.lit("too large").alias("problem"))
     sha, is_pdf = F.sha2("content", 256), F.substring("content", 1, 5) == F.lit(b"%PDF-")
-    bad = F.when(F.col("length") == 0, "empty").when(~is_pdf, "not a PDF")
+    bad = F.when(~is_pdf, "not a PDF")
     out = listed.where(F.col("length") <= most).select("path", sha.alias("sha256"), F.col("length").alias("size"), bad.alias("problem")).unionByName(large)
     out = out.withColumn("stored_path", F.when(F.col("problem").isNull(), F.concat_ws("/", F.substring("sha256", 1, 2), F.concat("sha256", F.lit(".pdf")))))
     first = out.groupBy("sha256").agg(F.min("path").alias("_first"))
