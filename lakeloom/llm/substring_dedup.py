@@ -9,10 +9,16 @@ suffixes at anchors need sorting, together with the bytes before them.
    string of `length` bytes around it. Equal contexts are one entry with a count.
 3. The contexts of a key meet in one task, in which the suffixes from the anchor and the reversed bytes before it are
    sorted. Adjacent common prefixes tell which contexts agree on both sides, and so which strings occur elsewhere.
-   A key with more than HOT different contexts isn't gathered: its strings are counted by a 128-bit hash in an
-   aggregation, which is exact too and splits over tasks.
+   A key with more than HOT different contexts is split by more context: all strings that start a to b bytes before
+   the anchor share the bytes from there on, so contexts meet only with those that agree in them, for these distances.
+   Where even that leaves more than HOT, distances are taken one by one: then the whole string is shared and nothing
+   is left to sort, so strings are counted by a 128-bit hash in an aggregation.
 4. Repeated strings go back to the documents, where they are cut out.
 
+Stretches of one short period (blanks, rules) are covered as they are, see suffix_sort.long_runs: they would give as
+many contexts as bytes. Contexts leave a worker in batches of BATCH bytes and count equal ones of a batch once, so a
+worker's memory is that of a text and a batch, however long or monotonous texts are.
+
 Rows are named by a 64-bit hash of id and text; wherever a name meets a text, the anchor's key is checked again.
 """
 
@@ -28,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .suffix_sort import KEY, anchors, common_prefixes, deep_shallow, keys_of
+from .suffix_sort import KEY, anchors, common_prefixes, deep_shallow, keys_of, long_runs
 
 #: Different contexts of a key that are sorted in one task.
 HOT = 65_536
 #: Contexts that are compared pair by pair after sorting.
 PAIRS = 160
-#: Texts of an Arrow batch that are worked on at once.
-TEXTS = 256
+#: Texts of an Arrow batch that are worked on at once, and bytes of what leaves a worker at once.
+TEXTS, BATCH = 256, 1 << 24
+#: Ranges of distances into which a key with more than HOT contexts is split.
+RANGES = 8
 
 
 def utf8(text: str | None) -> bytes:
@@ -47,8 +55,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte of the text's UTF-8 that is covered by a string of `length` bytes which also starts at another place,
     in this or another document, is removed; strings are judged on the input and may overlap. A null text is empty.
-    Rows that repeat id and text are documents of their own, so their strings repeat. Other columns are not read; an
-    empty table gives an empty result.
+    Rows that repeat id and text are documents of their own, so their strings repeat; no copy is spared, so there are
+    no ties. Texts of any length are read whole. Other columns are not read, so their names can't clash; an empty
+    table gives an empty result.
     """
     if length < KEY + 16:
         raise ValueError(f"length must be {KEY + 16} or more")
@@ -63,22 +72,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of_ref = of_ref.select("_ref", F.transform("_at", lambda x: x["_pos"]).alias("_at"), F.transform("_at", lambda x: x["_key"]).alias("_keys"))
     texts = stored(long_.select("_ref", "_text").join(of_ref, "_ref"), "texts")
 
-    contexts = texts.mapInArrow(lambda b: in_context(b, length), "_key long, _whole long, _left int, _bytes binary")
-    entries = contexts.groupBy("_key", "_whole").agg(F.count(F.lit(1)).alias("_n"), F.first("_left").alias("_left"), F.first("_bytes").alias("_bytes"))
+    contexts = texts.mapInArrow(lambda b: in_context(b, length), "_key long, _whole long, _left int, _bytes binary, _n long")
+    entries = contexts.groupBy("_key", "_whole").agg(F.sum("_n").alias("_n"), F.first("_left").alias("_left"), F.first("_bytes").alias("_bytes"))
     entries = stored(entries, "contexts")
-    hot = entries.groupBy("_key").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > HOT)
-    hot = stored(hot.select("_key"), "hot")
-    cold = entries if hot.isEmpty() else entries.join(hot, "_key", "left_anti")
-    sorted_ = cold.repartition("_key").sortWithinPartitions("_key")
-    runs = sorted_.mapInArrow(lambda b: repeated(b, length), "_key long, _whole long, _lo int, _hi int")
-    if not hot.isEmpty():
-        runs = runs.union(counted_runs(entries.join(hot, "_key", "left_semi"), length))
+    crowded = lambda e, *by: stored(e.groupBy(*by).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > HOT).select(*by), "hot")
+    hot = crowded(entries, "_key")
+    groups = entries.select("_key", F.lit(0).cast("long").alias("_part"), "_whole", "_n", "_left", "_bytes", F.lit(0).alias("_a"), F.lit(length - KEY).alias("_b"))
+    if hot.isEmpty():
+        runs = sorted_runs(groups, length)
+    else:
+        split = entries.join(hot, "_key", "left_semi").select("_key", "_whole", "_n", "_left", "_bytes")
+        split = stored(split.mapInArrow(lambda b: in_ranges(b, length), "_key long, _part long, _whole long, _n long, _left int, _bytes binary, _a int, _b int"), "split")
+        still = crowded(split, "_key", "_part")
+        runs = sorted_runs(groups.join(hot, "_key", "left_anti").unionByName(split.join(still, ["_key", "_part"], "left_anti").select(*groups.columns)), length)
+        runs = runs.union(counted_runs(split.join(still, ["_key", "_part"], "left_semi"), length))
     runs = stored(runs, "runs")
 
     places = texts.mapInArrow(lambda b: places_of(b, length), "_ref long, _pos int, _key long, _whole long")
     spans = places.join(runs, ["_key", "_whole"]).select("_ref", (F.col("_pos") + F.col("_lo")).alias("lo"), (F.col("_pos") + F.col("_hi")).alias("hi"))
     per_ref = spans.distinct().groupBy("_ref").agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"))
-    cut = texts.select("_ref", "_text").join(per_ref, "_ref").mapInArrow(cut_out, "_ref long, _size long, _removed long, _n_spans long, _sha string").distinct()
+    cut = texts.select("_ref", "_text").join(per_ref, "_ref").mapInArrow(lambda b: cut_out(b, length), "_ref long, _size long, _removed long, _n_spans long, _sha string").distinct()
 
     base = rows.select("_id", "_ref", F.octet_length("_text").cast("long").alias("_bytes"), F.sha2("_text", 256).alias("_whole_sha"))
     out = base.join(cut, (base["_ref"] == cut["_ref"]) & (base["_bytes"] == cut["_size"]), "left")
@@ -96,17 +109,26 @@ def table(names: str, *columns: tuple[Iterable, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names.split())
 
 
+def sorted_runs(groups: DataFrame, length: int) -> DataFrame:
+    met = groups.repartition("_key", "_part").sortWithinPartitions("_key", "_part")
+    return met.mapInArrow(lambda b: repeated(b, length), "_key long, _whole long, _lo int, _hi int")
+
+
 def anchored(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in parts(batches):
-        refs, keys, places = [], [], []
+        refs, keys, places, size = [], [], [], 0
         for ref, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             data = utf8(text)
             at = anchors(data, length)
             refs.append(np.full(len(at), ref, np.int64))
             places.append(at.astype(np.int32))
             keys.append(keys_of(data, at))
+            size += 20 * len(at)
+            if size > BATCH:
+                yield table("_ref _key _pos", *((np.concatenate(c), t) for c, t in ((refs, pa.int64()), (keys, pa.int64()), (places, pa.int32()))))
+                refs, keys, places, size = [], [], [], 0
         if refs:
-            yield table("_ref _key _pos", (np.concatenate(refs), pa.int64()), (np.concatenate(keys), pa.int64()), (np.concatenate(places), pa.int32()))
+            yield table("_ref _key _pos", *((np.concatenate(c), t) for c, t in ((refs, pa.int64()), (keys, pa.int64()), (places, pa.int32()))))
 
 
 def context(data: bytes, at: int, length: int) -> tuple[int, int, bytes]:
@@ -131,45 +153,84 @@ def valid(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, list[tuple[int, i
 
 
 def in_context(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
     for batch in parts(batches):
-        out = [(key, *context(data, at, length)) for _, data, all_ in valid(batch) for at, key in all_]
-        yield table("_key _whole _left _bytes", *(([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))))
+        held: dict[tuple[int, int], list] = {}
+        size = 0
+        for _, data, all_ in valid(batch):
+            for at, key in all_:
+                whole, left, own = context(data, at, length)
+                if (key, whole) in held:
+                    held[key, whole][2] += 1
+                    continue
+                held[key, whole] = [left, own, 1]
+                size += len(own) + 28
+                if size > BATCH:
+                    yield table("_key _whole _left _bytes _n", *zip(zip(*((*k, *v) for k, v in held.items()), strict=True), kinds, strict=True))
+                    held, size = {}, 0
+        if held:
+            yield table("_key _whole _left _bytes _n", *zip(zip(*((*k, *v) for k, v in held.items()), strict=True), kinds, strict=True))
 
 
 def places_of(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
     for batch in parts(batches):
-        out = [(ref, at, key, context(data, at, length)[0]) for ref, data, all_ in valid(batch) for at, key in all_]
-        yield table("_ref _pos _key _whole", *(([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))))
+        out: list[tuple[int, int, int, int]] = []
+        for ref, data, all_ in valid(batch):
+            for at, key in all_:
+                out.append((ref, at, key, context(data, at, length)[0]))
+                if 24 * len(out) > BATCH:
+                    yield table("_ref _pos _key _whole", *zip(zip(*out, strict=True), kinds, strict=True))
+                    out = []
+        if out:
+            yield table("_ref _pos _key _whole", *zip(zip(*out, strict=True), kinds, strict=True))
+
+
+def in_ranges(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Each context once for each range of distances, with a hash of the bytes that all strings of the range share."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
+    bounds = np.linspace(0, length - KEY + 1, RANGES + 1).astype(int).tolist()
+    for batch in parts(batches):
+        out = []
+        for key, whole, n, left, data in zip(*(batch.column(c).to_pylist() for c in ("_key", "_whole", "_n", "_left", "_bytes")), strict=True):
+            for a, b in zip(bounds[:-1], [x - 1 for x in bounds[1:]], strict=True):
+                if left >= a and len(data) - left >= length - b:
+                    out.append((key, xxhash.xxh3_64_intdigest(data[left - a : left + length - b], seed=a) - (1 << 63), whole, n, left, data, a, b))
+        if out:
+            yield table("_key _part _whole _n _left _bytes _a _b", *zip(zip(*out, strict=True), kinds, strict=True))
 
 
 def repeated(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows come by key; of each context, the maximal runs of bytes covered by repeated strings, relative to its anchor."""
+    """Rows come by key and part; of each context, the maximal runs of bytes covered by repeated strings, relative to its anchor."""
     held: list[tuple] = []
+    at: tuple | None = None
     for batch in batches:
         out: list[tuple[int, int, int, int]] = []
-        for row in zip(*(batch.column(c).to_pylist() for c in ("_key", "_whole", "_n", "_left", "_bytes")), strict=True):
-            if held and held[0][0] != row[0]:
-                out += runs_of(held, length)
-                held = []
-            held.append(row)
+        key, part, a, b, whole, n, left, data = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_key", "_part", "_a", "_b", "_whole", "_n", "_left", "_bytes"))
+        for i, k in enumerate(key):
+            if at is None or at[0] != k or at[1] != part[i]:
+                if at is not None:
+                    out += runs_of(held, length, *at[2:])
+                held, at = [], (k, part[i], a[i], b[i])
+            held.append((k, whole[i], n[i], left[i], data[i]))
         yield as_runs(out)
-    if held:
-        yield as_runs(list(runs_of(held, length)))
+    if at is not None:
+        yield as_runs(list(runs_of(held, length, *at[2:])))
 
 
 def as_runs(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     return table("_key _whole _lo _hi", *(([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))))
 
 
-def runs_of(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, int]]:
+def runs_of(group: list[tuple], length: int, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
     """A string that starts o bytes before the anchor is repeated if another context agrees o bytes to the left and
-    length-o to the right."""
+    length-o to the right; o is from a to b."""
     if len(group) == 1:
         key, whole, n, left, data = group[0]
         if n > 1 and len(data) >= length:
             yield key, whole, -left, len(data) - left
         return
-    if len(group) == 2 and group[0][2] == group[1][2] == 1:
+    if len(group) == 2 and group[0][2] == group[1][2] == 1 and b - a == length - KEY:
         yield from runs_of_two(group, length)
         return
     reach = length - KEY
@@ -203,9 +264,10 @@ def runs_of(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, in
         begun = np.bincount(first * wide + length - r[first, second], minlength=size)
         over = np.bincount(first * wide + le[first, second] + 1, minlength=size)
         dup = np.cumsum((begun - over).reshape(-1, wide), axis=1)[:, :-1] > 0
+        dup[:, :a] = dup[:, b + 1 :] = False
     else:
         class_a, class_b = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
-        for o in range(max(0, length - int(lcp_a.max())), min(reach, int(lcp_b.max())) + 1):
+        for o in range(max(a, length - int(lcp_a.max())), min(b, int(lcp_b.max())) + 1):
             class_a[order_a[1:]] = np.cumsum(lcp_a < length - o)
             class_b[order_b[1:]] = np.cumsum(lcp_b < o)
             class_a[order_a[0]] = class_b[order_b[0]] = 0
@@ -216,9 +278,9 @@ def runs_of(group: list[tuple], length: int) -> Iterator[tuple[int, int, int, in
     padded = np.zeros((len(which), reach + 3), np.int8)
     padded[:, 1:-1] = dup
     row, edge = np.nonzero(np.diff(padded, axis=1))
-    for i, a, b in zip(which[row[::2]].tolist(), edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        # Starts from b-1 to a bytes before the anchor.
-        yield group[i][0], group[i][1], -(b - 1), length - a
+    for i, first, end in zip(which[row[::2]].tolist(), edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        # Starts from end-1 to first bytes before the anchor.
+        yield group[i][0], group[i][1], -(end - 1), length - first
 
 
 def neighbours(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -264,29 +326,31 @@ def agreement(a: bytes, b: bytes) -> int:
     return n - 1 - (differ.bit_length() - 1) // 8
 
 
-def counted_runs(entries: DataFrame, length: int) -> DataFrame:
-    """The runs of keys with too many contexts for one task: their strings are counted by hash."""
+def counted_runs(split: DataFrame, length: int) -> DataFrame:
+    """The runs of parts of keys that still have too many contexts for one task: their strings are counted by hash."""
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
         for batch in parts(batches):
             out = []
-            for key, whole, n, left, data in zip(*(batch.column(c).to_pylist() for c in ("_key", "_whole", "_n", "_left", "_bytes")), strict=True):
-                out += [(key, whole, n, o, xxhash.xxh3_128_digest(data[left - o : left - o + length])) for o in range(max(0, length - len(data) + left), left + 1)]
-            yield table("_key _whole _n _o _w", *(([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))))
+            for key, whole, n, left, data, a, b in zip(*(batch.column(c).to_pylist() for c in ("_key", "_whole", "_n", "_left", "_bytes", "_a", "_b")), strict=True):
+                out += [(key, whole, n, o, xxhash.xxh3_128_digest(data[left - o : left - o + length])) for o in range(max(a, length - len(data) + left), min(b, left) + 1)]
+            if out:
+                yield table("_key _whole _n _o _w", *zip(zip(*out, strict=True), kinds, strict=True))
 
-    each = entries.mapInArrow(windows, "_key long, _whole long, _n long, _o int, _w binary")
+    each = split.mapInArrow(windows, "_key long, _whole long, _n long, _o int, _w binary")
     # A string may be within reach of several anchors, so it is counted for each key and distance by itself.
     same_place = ["_key", "_o", "_w"]
     twice = each.groupBy(*same_place).agg(F.sum("_n").alias("_s")).where(F.col("_s") > 1).select(*same_place)
     return each.join(twice, same_place).select("_key", "_whole", (-F.col("_o")).alias("_lo"), (F.lit(length) - F.col("_o")).alias("_hi"))
 
 
-def cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cut_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in parts(batches):
         out = []
         for ref, text, spans in zip(*(batch.column(c).to_pylist() for c in ("_ref", "_text", "_spans")), strict=True):
             data, kept, at, n, removed = utf8(text), hashlib.sha256(), 0, 0, 0
-            for lo, hi in sorted((s["lo"], s["hi"]) for s in spans):
+            for lo, hi in sorted([(s["lo"], s["hi"]) for s in spans] + [run[:2] for run in long_runs(data, length)]):
                 if lo > at or not n:
                     n += 1
                     kept.update(data[at:lo])

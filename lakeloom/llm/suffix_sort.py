@@ -15,6 +15,9 @@ SHALLOW = 64
 SMALL = 12
 #: Bytes of an anchor's key and of the gram that makes it an anchor.
 KEY, GRAM = 50, 16
+#: Longest period of a run, and bytes of a text that are looked at together.
+PERIODS, SEGMENT = 16, 1 << 20
+SHIFTS = np.arange(1, PERIODS + 1)
 
 
 def sliding(x: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
@@ -28,10 +31,41 @@ def sliding(x: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
     return op(back[:n], ahead[width - 1 : width - 1 + n])
 
 
+def long_runs(data: bytes, length: int) -> list[tuple[int, int, int]]:
+    """(start, end, period) of the stretches of at least 2 * length bytes in which every byte equals the one `period`
+    before it, such as blanks or a repeated word. Any `length` bytes of one occur in it twice."""
+    out: list[tuple[int, int, int]] = []
+    own, least = np.frombuffer(data, np.uint8), 2 * length
+    if len(own) < least:
+        return out
+    # A long run has four samples in a row at least; only for periods that have them is every byte looked at.
+    at = np.arange(0, len(own) - PERIODS, (least - PERIODS) // 4 - 6)
+    some = own[at][:, None] == own[at[:, None] + SHIFTS]
+    for p in (np.flatnonzero((some[:-3] & some[1:-2] & some[2:-1] & some[3:]).any(axis=0)) + 1).tolist():
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], own[:-p] == own[p:], [False]])))
+        for lo, hi in zip(edges[::2].tolist(), (edges[1::2] + p).tolist(), strict=True):
+            if hi - lo >= least and not any(a <= lo and hi <= b for a, b, _ in out):
+                out.append((lo, hi, p))
+    return sorted(out)
+
+
 def anchors(data: bytes, length: int) -> np.ndarray:
     """Positions such that every window of `length` bytes has one of them at most length-KEY bytes after its start,
     found from the window's bytes alone: equal windows have equal anchors. A position is an anchor if its gram's hash
-    is the least of a window's."""
+    is the least of a window's. In a long run, where all hashes of a period tie at every place, only the first windows
+    have anchors, two of each content; the others are known to be repeated."""
+    runs = long_runs(data, length)
+    if len(data) <= SEGMENT:
+        return segment_anchors(data, length, runs)
+    out = []
+    for lo in range(0, len(data), SEGMENT):
+        a, b = max(0, lo - length), min(len(data), lo + SEGMENT + length)
+        at = a + segment_anchors(data[a:b], length, [(x - a, y - a, p) for x, y, p in runs])
+        out.append(at[(at >= lo) & (at < lo + SEGMENT)])
+    return np.concatenate(out)
+
+
+def segment_anchors(data: bytes, length: int, runs: list[tuple[int, int, int]]) -> np.ndarray:
     if len(data) < length:
         return np.empty(0, np.int64)
     words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
@@ -42,6 +76,8 @@ def anchors(data: bytes, length: int) -> np.ndarray:
     width = length - KEY + 1
     h = h[: len(data) - KEY + 1]
     least = sliding(h, width, np.minimum, np.iinfo(np.uint64).max)  # one for each window of `length` bytes
+    for lo, hi, p in runs:
+        least[max(0, lo + 2 * p) : max(0, hi - length + 1)] = 0
     padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
     return np.flatnonzero(sliding(padded, width, np.maximum, 0)[: len(h)] == h)
 
