@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import html as html_
 import re
-from html.parser import HTMLParser
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dom import Node, parse
 from .sites import hkex_code
 from .text import one_line, strip
 
@@ -21,7 +22,7 @@ LINK = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
 CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
-VOID = {"br", "img", "hr", "meta", "link", "input", "source", "wbr", "col", "area", "base", "embed", "track", "param"}
+BLOCKS = {"br", "p", "div", "li", "tr"}
 NOISE = {"script", "style", "noscript", "iframe", "nav", "footer", "aside", "header", "form", "button"}
 
 
@@ -87,51 +88,26 @@ def structured(json: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(F.get_json_object(json, n), F.lit("")) for n in names])
 
 
-class _Article(HTMLParser):
-    """Text of the first element that fits a selector (tag, .class or #id), without noise."""
-
-    def __init__(self, selector: str):
-        super().__init__(convert_charrefs=True)
-        self.selector, self.depth, self.noise, self.done, self.out = selector, 0, 0, False, []
-
-    def fits(self, tag: str, attrs: dict) -> bool:
-        kind, name = self.selector[0], self.selector[1:]
-        if kind == ".":
-            return name in (attrs.get("class") or "").split()
-        return attrs.get("id") == name if kind == "#" else tag == self.selector
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.done:
-            return
-        if self.depth:
-            if tag in ("br", "p", "div", "li", "tr"):
-                self.out.append("\n")
-            if tag not in VOID:
-                self.depth += 1
-                self.noise += bool(self.noise) or tag in NOISE
-        elif self.fits(tag, dict(attrs)) and tag not in VOID:
-            self.depth = 1
-
-    def handle_endtag(self, tag: str) -> None:
-        if self.depth and not self.done and tag not in VOID:
-            self.depth -= 1
-            self.noise = max(0, self.noise - 1)
-            self.done = not self.depth
-
-    def handle_data(self, data: str) -> None:
-        if self.depth and not self.done and not self.noise:
-            self.out.append(data)
-
-
 def article_text(html: str | None, selectors: tuple[str, ...], least: int) -> str | None:
-    """The text of the first selector that gives at least `least` characters."""
+    """The text of the first selector (tag, .class or #id) whose first element has at least `least` characters, without
+    noise; a line for each block. The page is parsed once for all selectors."""
+    page = parse(html)
+
+    def pieces(node: Node) -> Iterator[str]:
+        for c in node.children:
+            if isinstance(c, str):
+                yield c
+            elif c.tag not in NOISE:
+                if c.tag in BLOCKS:
+                    yield "\n"
+                yield from pieces(c)
+
     for s in selectors:
-        parser = _Article(s)
-        parser.feed(html or "")
-        lines = (" ".join(line.replace("\xa0", " ").split()) for line in "".join(parser.out).split("\n"))
-        text = "\n".join(line for line in lines if line)
-        if len(text) >= least:
-            return text
+        if (node := page.first(s)) is not None:
+            lines = (" ".join(line.replace("\xa0", " ").split()) for line in "".join(pieces(node)).split("\n"))
+            text = "\n".join(line for line in lines if line)
+            if len(text) >= least:
+                return text
     return None
 
 

@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 
 from ..functions import rules
 
-MANIFEST = T.StructType.fromDDL(
-    "manifest_id string, site_id string, dataset string, local_path string, remote_path string, sha256 string, row_count bigint, scope_tokens array<string>, stage string, "
-    "failed_from_stage string, retry_count int, last_error string, last_failed_at timestamp, retryable boolean, retry_reason string, updated_at timestamp"
-)
+MANIFEST = T.StructType([
+    T.StructField(n, t) for t, names in (
+        (T.StringType(), "manifest_id site_id dataset local_path remote_path sha256 stage failed_from_stage last_error retry_reason"), (T.LongType(), "row_count"), (T.IntegerType(), "retry_count"),
+        (T.ArrayType(T.StringType()), "scope_tokens"), (T.BooleanType(), "retryable"), (T.TimestampType(), "last_failed_at updated_at"),
+    ) for n in names.split()
+])
 #: What replay does with the manifests of a stage, the stage that follows, and how it is told.
 STEPS = {"local": ("uploaded", "uploaded"), "uploaded": ("verified", "uploaded"), "verified": ("catalog_registered", "registered"), "catalog_registered": ("seen_committed", "seen_committed"), "seen_committed": ("checkpoint_committed", "seen_committed"), "checkpoint_committed": ("cleanable", "cleaned"), "cleanable": ("deleted", "cleaned")}
 #: Manifests of a stage -> (manifest_id, error): null where the step went well; remote_path may come too.

@@ -17,6 +17,12 @@ def bridge(records: DataFrame) -> DataFrame:
     return named.groupBy("record_uid", F.col("r.instrument_id").alias("instrument_id"), F.coalesce("r.relation_type", F.lit("related")).alias("relation_type")).agg(F.max("r.confidence").alias("confidence"))
 
 
+def counted_by(links: DataFrame, instruments: DataFrame, kind: str) -> DataFrame:
+    """Per kind of instrument: n_records (different ones) and n_links. links: record_uid, instrument_id."""
+    met = links.join(instruments.select("instrument_id", kind), "instrument_id")
+    return met.groupBy(kind).agg(F.count_distinct("record_uid").alias("n_records"), F.count(F.lit(1)).alias("n_links"))
+
+
 def fanned_out(reports: DataFrame, ids: str = "instrument_ids") -> DataFrame:
     """One row for each non-blank instrument of a report."""
     out = reports.withColumn("instrument_id", F.explode(ids)).drop(ids)

@@ -105,17 +105,28 @@ def q_relation_bridge(spark, sf_dir):
     return relations.bridge(events(spark, sf_dir))
 
 
+#: (application, tables) -> the lake of all events, which is written once.
+LAKES: dict[tuple[str, str], str] = {}
+
+
+def event_lake(spark, sf_dir) -> str:
+    at = spark.sparkContext.applicationId, sf_dir
+    if at not in LAKES:
+        root = scratch(spark)
+        lake.write_lake(events(spark, sf_dir), FORUM, root)
+        LAKES[at] = root
+    return LAKES[at]
+
+
 def q_pruned_equals_full(spark, sf_dir):
-    root = scratch(spark)
-    lake.write_lake(events(spark, sf_dir), FORUM, root)
+    root = event_lake(spark, sf_dir)
     return shown(query.on_lake(lake.read_lake(spark, root), spec(instrument_ids=["XUSR:000008", "XUSR:000046", "XUSR:000011"], country="US", **SEOUL)))
 
 
 def q_catalog_query(spark, sf_dir):
-    root = scratch(spark)
-    lake.write_lake(events(spark, sf_dir), FORUM, root)
-    made = lake.files_of(spark.read.parquet(root), FORUM)
-    files = catalog.upserted(catalog.empty(spark), made.withColumn("sha256", F.sha2("file_path", 256)))
+    read = spark.read.parquet(event_lake(spark, sf_dir))
+    made = lake.with_checksums(spark, lake.files_of(read, FORUM), lake.paths_of(read))
+    files = catalog.upserted(catalog.empty(spark), made)
     files = catalog.mark_uploaded(files, files.select("file_path", F.col("file_path").alias("remote_path")))
     return shown(query.on_catalog(spark, files, spec(instrument_ids=["XUSR:000008", "XUSR:000046"], **SEOUL)))
 
@@ -400,9 +411,9 @@ def q_universe_page(spark, sf_dir):
 
 
 def q_bridge_join(spark, sf_dir):
-    """Records by instrument through the bridge: parts of orders with their type."""
-    li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    return li.join(p, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_type").alias("kind")).agg(F.count_distinct("l_orderkey").alias("n_records"), F.count(F.lit(1)).alias("n_links"))
+    """Records by the kind of instrument that they link to: orders as records, parts as instruments."""
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record_uid"), F.col("l_partkey").alias("instrument_id"))
+    return relations.counted_by(links, table(spark, sf_dir, "part").select(F.col("p_partkey").alias("instrument_id"), F.col("p_type").alias("kind")), "kind")
 
 
 def q_detail_merge(spark, sf_dir):

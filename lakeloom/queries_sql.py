@@ -60,8 +60,15 @@ def lines(c: str, each: str) -> str:
     return f"array_to_string(list_filter(list_transform(string_split_regex({c}, '\\r\\n|[\\n\\r]'), lambda x: {each}), lambda x: x <> ''), chr(10))"
 
 
-MESSY = "chr(12288) || '<b>' || substr(text, 1, 80) || '</b> <br/>  x &amp; y' || repeat(chr(10), 4) || ' z  '"
+MESSY = "chr(12288) || '<b>' || text || '</b> <br/>  x &amp; y' || repeat(chr(10), 4) || ' z  '"
 PLAIN = lines(f"replace({unescaped(f"regexp_replace(regexp_replace({MESSY}, '<br\\s*/?>', chr(10), 'gi'), '<[^>]+>', '', 'g')")}, chr(160), ' ')", strip("x"))
+def article(inner: str) -> str:
+    """Text of a page's part: a line for each block, tags gone."""
+    text = unescaped(f"regexp_replace(regexp_replace(regexp_replace({inner}, '<!--.*?-->', '', 'gs'), '<(br|p|div|li|tr)\\b[^>]*>', chr(10), 'gi'), '<[^>]*>', '', 'g')")
+    return lines(text, strip(f"regexp_replace(x, '{WS}+', ' ', 'g')"))
+
+
+BODY = "regexp_replace(regexp_extract(html, '<body[^>]*>(.*)', 1, 's'), '<(script|style|nav|footer)\\b.*?</(script|style|nav|footer)>', '', 'gs')"
 LINK = r"""<a\b[^>]*?\bhref\s*=\s*[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>"""
 CUSTOMER_RETENTION = "SELECT o_orderkey, k, CASE WHEN k % 3 = 0 THEN 'manifest' WHEN k % 3 = 1 THEN 'sidecar' ELSE 'parquet' END AS kind, k % 2 = 0 AS superseded, k % 60 AS age, k % 7 > 0 AS durable, k % 11 = 0 AS failed FROM (SELECT o_orderkey, o_orderkey AS k FROM orders)"
 
@@ -107,8 +114,8 @@ SQL: dict[str, str] = {
     "q_rollout_gate": f"WITH {RUNS}, r AS (SELECT site_id, dataset, list_filter([CASE WHEN files < 1 THEN 'instrument_count must be >= 1' END, CASE WHEN total < 1 THEN 'attempted_scopes must be >= 1' END, CASE WHEN (failed + blocked * 20) / total > 0.02 THEN 'scope failure rate exceeded threshold' END, CASE WHEN failed > 0 THEN 'recovery failures remain' END, CASE WHEN blocked > 0 THEN 'pending recovery remains' END, CASE WHEN bytes * 100 > 536870912 THEN 'file size threshold exceeded' END], lambda x: x IS NOT NULL) AS why FROM ds) SELECT site_id, dataset, len(why) = 0 AS can_expand, array_to_string(why, '; ') AS reasons FROM r",
     "q_set_reconcile": "WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer), b AS (SELECT o_custkey AS k FROM orders WHERE o_custkey % 10 > 2 UNION SELECT o_custkey + 1000000 FROM orders WHERE (o_custkey + 1000000) % 50 = 0) SELECT k, 'missing' AS side FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT k, 'unexpected' FROM (SELECT k FROM b EXCEPT SELECT k FROM a)",
     "q_path_overlap": f"WITH {CAT} SELECT file_path FROM files WHERE id % 6 = 0",
-    "q_clean_text": f"SELECT doc_id, nullif({PLAIN}, '') AS plain, {one_line(MESSY)} AS line, {lines("translate(substr(text, 1, 200), chr(160) || chr(12288), '  ')", strip("regexp_replace(x, '[ \\t]+', ' ', 'g')"))} AS lines, {strip(MESSY)} AS stripped FROM documents",
-    "q_parse_int": r"SELECT doc_id, CASE WHEN doc_id = 0 THEN 0 ELSE -doc_id * 12345 END AS a, try_cast(nullif(regexp_extract(replace(substr(text, 1, 400), ',', ''), '\d+'), '') AS BIGINT) AS b, CAST(0 AS BIGINT) AS c FROM documents",
+    "q_clean_text": f"SELECT doc_id, nullif({PLAIN}, '') AS plain, {one_line(MESSY)} AS line, {lines("translate(text, chr(160) || chr(12288), '  ')", strip("regexp_replace(x, '[ \\t]+', ' ', 'g')"))} AS lines, {strip(MESSY)} AS stripped FROM documents",
+    "q_parse_int": r"SELECT doc_id, CASE WHEN doc_id = 0 THEN 0 ELSE -doc_id * 12345 END AS a, try_cast(nullif(regexp_extract(replace(text, ',', ''), '\d+'), '') AS BIGINT) AS b, CAST(0 AS BIGINT) AS c FROM documents",
     "q_research_date": "WITH d AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) + CASE WHEN o_orderkey % 50 = 0 THEN 20 ELSE 0 END AS d FROM orders) SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE strftime(try_cast(printf('%04d-%02d-%02d', CASE WHEN o_orderkey % 4 = 2 THEN 2000 + y % 100 ELSE y END, m, d) AS DATE), '%Y-%m-%d') END AS d FROM d",
     "q_relative_time": f"SELECT event_id, {t("CASE event_id % 5 WHEN 0 THEN CAST(ts AS TIMESTAMP) - to_minutes(event_id % 50) WHEN 1 THEN CAST(ts AS TIMESTAMP) - to_hours(event_id % 20) WHEN 2 THEN CAST(ts AS TIMESTAMP) - to_days(CAST(event_id % 9 AS INTEGER)) WHEN 3 THEN CAST(ts AS TIMESTAMP) END")} AS event_time, CASE WHEN event_id % 5 = 4 THEN 'unknown' ELSE 'approximate_relative' END AS quality FROM events",
     "q_hkex_codes": "SELECT p_partkey, array_to_string(list_filter([lpad(CAST(p_partkey AS VARCHAR), 5, '0'), lpad('8' || (p_partkey % 10000), 5, '0')], lambda x, i: i = 1 OR lpad('8' || (p_partkey % 10000), 5, '0') <> lpad(CAST(p_partkey AS VARCHAR), 5, '0')), ',') AS codes, 'XHKG:' || lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0') AS instrument FROM part",
@@ -116,13 +123,14 @@ SQL: dict[str, str] = {
     "q_html_links": f"WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 1, 'si')) AS href, unnest(regexp_extract_all(html, '{LINK}', 2, 'si')) AS txt, unnest(range(len(regexp_extract_all(html, '{LINK}', 1, 'si')))) AS pos FROM pages), c AS (SELECT page_id, href, pos, {one_line("regexp_replace(txt, '<[^>]*>', ' ', 'g')")} AS title FROM l) SELECT page_id, href, arg_min(title, pos) AS title FROM c WHERE length(title) >= 1 GROUP BY page_id, href",
     "q_html_title": f"SELECT page_id, nullif({one_line("regexp_replace(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'si'), '<[^>]*>', ' ', 'g')")}, '') AS title FROM pages",
     "q_html_rows": "SELECT page_id, CAST(0 AS BIGINT) AS pos, 'id|' || page_id AS cells FROM pages UNION ALL SELECT page_id, 1, 'a b' FROM pages",
+    "q_html_article": f"WITH a AS (SELECT page_id, {article("regexp_extract(html, '<article[^>]*>(.*?)</article>', 1, 's')")} AS t, {article(BODY)} AS b FROM pages), c AS (SELECT page_id, CASE WHEN length(t) >= 100 THEN t WHEN length(b) >= 100 THEN b END AS body FROM a) SELECT page_id, CAST(length(body) AS INTEGER) AS n, sha256(body) AS sha FROM c",
     "q_month_windows": "WITH o AS (SELECT o_orderpriority, date_trunc('month', min(o_orderdate)) AS a, date_trunc('month', max(o_orderdate)) AS b FROM orders GROUP BY 1), m AS (SELECT o_orderpriority, unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS m FROM o) SELECT o_orderpriority, strftime(m, '%Y-%m') AS month, strftime(m - INTERVAL 1 MONTH, '%Y-%m') AS before FROM m",
     "q_universe_prefix": f"WITH {UNI}, r AS (SELECT *, row_number() OVER (ORDER BY pos) AS n FROM u) SELECT CAST(s AS INTEGER) AS stage_size, instrument_id, pos FROM r, (VALUES (10), (50)) v(s) WHERE n <= s",
     "q_universe_page": f"WITH {UNI} SELECT pos, instrument_id FROM u ORDER BY pos LIMIT 30 OFFSET 20",
     "q_bridge_join": "SELECT p_type AS kind, count(DISTINCT l_orderkey) AS n_records, count(*) AS n_links FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1",
     "q_detail_merge": "SELECT i.conv_id, coalesce(CASE WHEN d.conv_id % 2 = 0 THEN d.role END, i.role) AS role, CAST(length(i.text) AS INTEGER) AS n, sha256(d.text) AS sha FROM conversations i LEFT JOIN conversations d ON d.conv_id = i.conv_id AND d.turn = 1 WHERE i.turn = 0",
     "q_last_per_key": f"WITH {VER} SELECT f.record_uid, coalesce(g.version_hash, f.version_hash) AS version_hash FROM f LEFT JOIN g USING (record_uid)",
-    "q_counter_delta": "SELECT event_id, event_id * 3 - coalesce(lag(event_id * 3) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS delta FROM events WHERE user_id < 20",
+    "q_counter_delta": "SELECT event_id, event_id * 3 - coalesce(lag(event_id * 3) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS delta FROM events",
     "q_estimated_bytes": """SELECT o_orderkey, CAST(strlen('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","x":null}') AS BIGINT) AS n FROM orders""",
     "q_stream_dedup": f"WITH {REC} SELECT record_uid, sha256(concat_ws(chr(31), 'events', 'forum_post', source_id, 'instrument', instrument_id, instrument_id, strftime(event_time, '%Y-%m-%dT%H:%M:%SZ'), '', title, '', '', '', '', rel, payload_json)) AS version_hash FROM rec",
     "q_export_roundtrip": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",

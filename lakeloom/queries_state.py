@@ -20,7 +20,12 @@ from .streaming import buffer, ingest, runtime
 
 R = Registry()
 QUERIES, SQL, twin = R.queries, R.sql, R.twin
-NOW = F.lit("2026-08-01 00:00:00").cast("timestamp")
+
+
+def now():
+    return F.lit("2026-08-01 00:00:00").cast("timestamp")
+
+
 DESCRIBED = "file_path, row_count, storage_status, lifecycle_status"
 
 
@@ -129,7 +134,7 @@ def q_legacy_buckets(spark, sf_dir):
 @twin("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'source_id is required' ELSE 'crawled_at is required' END AS problems FROM supplier WHERE s_suppkey % 3 < 2")
 def q_rejected_rows(spark, sf_dir):
     k = F.col("s_suppkey")
-    rows = table(spark, sf_dir, "supplier").select(F.lit("s").alias("site_id"), F.lit("kr").alias("country"), k.cast("string").alias("title"), F.when(k % 3 > 0, k.cast("string")).otherwise("　 ").alias("source_id"), F.when(k % 3 != 1, NOW).alias("crawled_at"))
+    rows = table(spark, sf_dir, "supplier").select(F.lit("s").alias("site_id"), F.lit("kr").alias("country"), k.cast("string").alias("title"), F.when(k % 3 > 0, k.cast("string")).otherwise("　 ").alias("source_id"), F.when(k % 3 != 1, now()).alias("crawled_at"))
     return lake.rejected(rows, FORUM).select(F.col("title").cast("long").alias("s_suppkey"), F.array_join("problems", "; ").alias("problems"))
 
 
@@ -276,7 +281,7 @@ def manifests(spark, sf_dir):
     failed = stage == "failed"
     return table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("m"), k).alias("manifest_id"), F.lit("s").alias("site_id"), F.lit("forum_post").alias("dataset"), F.concat(F.lit("l/"), k).alias("local_path"), F.lit(None).cast("string").alias("remote_path"), F.lit("x").alias("sha256"), k.alias("row_count"), F.array(F.concat(F.lit("s|"), k % 4)).alias("scope_tokens"),
-        stage.alias("stage"), F.when(failed, F.element_at(stages, (k % 6 + 1).cast("int"))).alias("failed_from_stage"), F.when(failed, 1).otherwise(0).alias("retry_count"), F.when(failed, "timeout").alias("last_error"), F.when(failed, NOW).alias("last_failed_at"), F.when(failed, k % 2 == 0).alias("retryable"), F.when(failed, "why").alias("retry_reason"), NOW.alias("updated_at"),
+        stage.alias("stage"), F.when(failed, F.element_at(stages, (k % 6 + 1).cast("int"))).alias("failed_from_stage"), F.when(failed, 1).otherwise(0).alias("retry_count"), F.when(failed, "timeout").alias("last_error"), F.when(failed, now()).alias("last_failed_at"), F.when(failed, k % 2 == 0).alias("retryable"), F.when(failed, "why").alias("retry_reason"), now().alias("updated_at"),
     )
 
 
@@ -287,20 +292,20 @@ MAN = "st AS (SELECT ['local', 'uploaded', 'verified', 'catalog_registered', 'se
 def q_manifest_moves(spark, sf_dir):
     own = manifests(spark, sf_dir)
     early = own.where(F.col("stage").isin("local", "uploaded", "verified"))
-    return recovery.advanced(own, early.select("manifest_id", F.lit("catalog_registered").alias("stage"), F.concat(F.lit("r/"), "row_count").alias("remote_path")), NOW).select("manifest_id", "stage", "remote_path")
+    return recovery.advanced(own, early.select("manifest_id", F.lit("catalog_registered").alias("stage"), F.concat(F.lit("r/"), "row_count").alias("remote_path")), now()).select("manifest_id", "stage", "remote_path")
 
 
 @twin(f"WITH {MAN} SELECT manifest_id, CASE WHEN k % 2 = 0 THEN 'failed' ELSE stage END AS stage, CASE WHEN k % 2 = 0 AND stage <> 'failed' THEN stage ELSE origin END AS failed_from_stage, CAST(CASE WHEN stage = 'failed' THEN 1 ELSE 0 END + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS retry_count, CASE WHEN k % 2 = 0 THEN k % 4 = 0 WHEN stage = 'failed' THEN false END AS retryable, CASE WHEN k % 4 = 0 THEN 'retryable_error' WHEN k % 2 = 0 THEN 'non_retryable_error' WHEN stage = 'failed' THEN 'why' END AS retry_reason FROM m")
 def q_manifest_failures(spark, sf_dir):
     own, k = manifests(spark, sf_dir), F.col("row_count")
     failures = own.where(k % 2 == 0).select("manifest_id", F.when(k % 4 == 0, "connection reset").otherwise("corrupt").alias("error"))
-    return recovery.failed(own, failures, NOW).select("manifest_id", "stage", "failed_from_stage", "retry_count", "retryable", "retry_reason")
+    return recovery.failed(own, failures, now()).select("manifest_id", "stage", "failed_from_stage", "retry_count", "retryable", "retry_reason")
 
 
 @twin(f"WITH {MAN} SELECT manifest_id, true AS retryable, 'again' AS retry_reason, origin AS failed_from_stage FROM m WHERE stage = 'failed'")
 def q_manifest_reclassified(spark, sf_dir):
     own = manifests(spark, sf_dir)
-    after = recovery.reclassified(own, recovery.by_stage(own, "failed").select("manifest_id"), True, "again", NOW)
+    after = recovery.reclassified(own, recovery.by_stage(own, "failed").select("manifest_id"), True, "again", now())
     return recovery.by_stage(after, "failed").select("manifest_id", "retryable", "retry_reason", "failed_from_stage")
 
 
@@ -326,18 +331,18 @@ REPLAY = f"{MAN}, p AS (SELECT *, coalesce(origin, stage) AS cur, stage = 'delet
 
 @twin(f"WITH {REPLAY} SELECT manifest_id, stage AS original_stage, CASE WHEN closed THEN stage WHEN bad THEN 'failed' ELSE 'deleted' END AS final_stage, CASE WHEN closed THEN 'skipped' WHEN bad THEN 'failed' ELSE 'cleaned' END AS action, NOT bad AS success, CAST(CASE WHEN stage = 'failed' THEN 1 ELSE 0 END + CASE WHEN bad THEN 1 ELSE 0 END AS INTEGER) AS retry_count FROM r")
 def q_recovery_replay(spark, sf_dir):
-    after, results = recovery.replayed(manifests(spark, sf_dir), steps(), NOW)
+    after, results = recovery.replayed(manifests(spark, sf_dir), steps(), now())
     return results.drop("message").join(after.select("manifest_id", "retry_count"), "manifest_id")
 
 
 @twin(f"WITH {REPLAY}, q AS (SELECT * FROM r WHERE stage <> 'deleted') SELECT count(*) AS scanned, count(*) FILTER (NOT closed) AS attempted, count(*) FILTER (NOT closed AND NOT bad) AS recovered, count(*) FILTER (closed) AS skipped, count(*) FILTER (bad) AS failed, count(*) FILTER (closed) AS terminal_failed, count(*) FILTER (closed OR bad) AS remaining_pending, count(*) FILTER (bad) = 0 AS can_continue FROM q")
 def q_recovery_started(spark, sf_dir):
-    return recovery.started(manifests(spark, sf_dir), steps(), NOW)[1]
+    return recovery.started(manifests(spark, sf_dir), steps(), now())[1]
 
 
 @twin(f"WITH {REPLAY} SELECT count(*) AS scanned, count(*) FILTER (NOT closed AND NOT bad) AS recovered, count(*) FILTER (closed) AS skipped, count(*) FILTER (bad) AS failed, count(*) FILTER (NOT closed AND NOT bad) AS deleted FROM r")
 def q_recovery_counters(spark, sf_dir):
-    return recovery.counters(recovery.replayed(manifests(spark, sf_dir), steps(), NOW)[1])
+    return recovery.counters(recovery.replayed(manifests(spark, sf_dir), steps(), now())[1])
 
 
 # Buffers
@@ -393,7 +398,7 @@ def staged_rows(spark, sf_dir):
     e, code = F.col("event_id"), F.lpad(F.col("user_id").cast("string"), 6, "0")
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("XKRX:"), code).alias("scope"), e.alias("seq"), F.to_json(F.struct(e.alias("last"))).alias("state"), e.cast("string").alias("nid"), code.alias("code"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), F.col("event_type").alias("title"),
-        *[F.lit("x").alias(c) for c in ("contents", "author_id", "author_name", "url")], NOW.alias("crawled_at"),
+        *[F.lit("x").alias(c) for c in ("contents", "author_id", "author_name", "url")], now().alias("crawled_at"),
     )
 
 
@@ -415,7 +420,7 @@ def q_run_platform(spark, sf_dir):
     """Two sites side by side, with what each has seen."""
     root, rows = scratch(spark), staged_rows(spark, sf_dir)
     half = -(-rows.select("scope").distinct().count() // 2)
-    stocks = rows.groupBy("scope").agg(F.max("seq").alias("seq"), F.max("state").alias("state"), F.first("code").alias("c")).select("scope", "seq", "state", F.concat(F.lit("A"), "c").alias("stock_key"), F.lit("n").alias("stock_name"), F.lit("").alias("href"), NOW.alias("crawled_at"))
+    stocks = rows.groupBy("scope").agg(F.max("seq").alias("seq"), F.max("state").alias("state"), F.first("code").alias("c")).select("scope", "seq", "state", F.concat(F.lit("A"), "c").alias("stock_key"), F.lit("n").alias("stock_name"), F.lit("").alias("href"), now().alias("crawled_at"))
     jobs = [runtime.Job(sites.site("naver_finance"), "forum_post", rows, f"{root}/a")]
     done = runtime.run_platform(spark, jobs, every=half) + runtime.run_platform(spark, [runtime.Job(sites.site("tossinvest"), "instrument", stocks, f"{root}/b")], every=100_000, budgets={"tossinvest": 1})
     return runtime.summary(spark, done)
@@ -503,7 +508,7 @@ def q_fanned_out(spark, sf_dir):
     return relations.fanned_out(table(spark, sf_dir, "orders").select("o_orderkey", ids.alias("instrument_ids")))
 
 
-@twin("SELECT o_custkey, arg_min(o_orderpriority, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END * 1000000000 + o_orderkey) AS priority FROM orders GROUP BY 1")
+@twin("SELECT o_custkey, arg_min(o_orderpriority, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END * CAST(1000000000 AS BIGINT) + o_orderkey) AS priority FROM orders GROUP BY 1")
 def q_first_of_types(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     first = o.groupBy("o_custkey", "o_orderstatus").agg(F.min_by("o_orderpriority", "o_orderkey").alias("priority"))
@@ -523,7 +528,7 @@ def q_attached(spark, sf_dir):
     return relations.attached(rows, own).select("record_uid", "attachment_id")
 
 
-@twin("WITH s AS (SELECT user_id % 3 AS queue, event_id AS at, user_id AS size FROM events) SELECT queue, arg_max(size, at) AS current, max(size) AS most FROM s GROUP BY queue")
+@twin("WITH s AS (SELECT user_id % 3 AS queue, event_id AS at_, user_id AS size FROM events) SELECT queue, arg_max(size, at_) AS current, max(size) AS most FROM s GROUP BY queue")
 def q_queue_gauges(spark, sf_dir):
     return progress.queue_gauges(table(spark, sf_dir, "events").select((F.col("user_id") % 3).alias("queue"), F.col("event_id").alias("at"), F.col("user_id").alias("size")))
 

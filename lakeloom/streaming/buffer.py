@@ -85,11 +85,11 @@ def buffered(stream: DataFrame, key: Sequence[str], size: str, limits: Limits, f
 
     def step(_key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, n, created = (pickle.loads(state.get[0]), *state.get[1:]) if state.exists else ([], 0, 0)
-        if state.hasTimedOut:
+        if not final and state.hasTimedOut:
             yield pd.DataFrame([(*r, n, "age") for r in held], columns=cut)
             state.update((pickle.dumps([]), n + 1, 0))
             return
-        now, size_ = state.getCurrentProcessingTimeMs(), sum(r[at] or 0 for r in held)
+        now, size_ = 0 if final else state.getCurrentProcessingTimeMs(), sum(r[at] or 0 for r in held)
         for frame in frames:
             done = []
             for row in frame.itertuples(index=False, name=None):
@@ -105,9 +105,11 @@ def buffered(stream: DataFrame, key: Sequence[str], size: str, limits: Limits, f
             yield pd.DataFrame([(*r, n, "end") for r in held], columns=cut)
             held, n = [], n + 1
         state.update((pickle.dumps(held), n, created))
-        if held:
+        if held and not final:
             # The age counts from the first row, not from the last.
             state.setTimeoutDuration(max(1, created + limits.seconds * 1000 - now))
 
+    # With timeouts Spark goes on making batches, so a stream that is to end has none.
+    timeout = GroupStateTimeout.NoTimeout if final else GroupStateTimeout.ProcessingTimeTimeout
     at = stream.columns.index(size)
-    return stream.groupBy(*key).applyInPandasWithState(step, out, "held binary, n long, created long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy(*key).applyInPandasWithState(step, out, "held binary, n long, created long", "append", timeout)
