@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules
+from ..sources.versions import cut
 
 MANIFEST = T.StructType([
     T.StructField(n, t) for t, names in (
@@ -84,7 +85,8 @@ def replayed(manifests: DataFrame, steps: Mapping[str, Step], now: Column, most:
     """(manifests after it, results: manifest_id, original_stage, final_stage, action, success, message).
 
     Deleted manifests and terminal failures are skipped; other failures go on from the stage they failed at. Each
-    manifest goes as far as the steps do (a stage without a step ends the way); one whose step has an error fails."""
+    manifest goes as far as the steps do (a stage without a step ends the way); one whose step has an error fails.
+    A step runs once, and what it gives is kept before the next one begins."""
     start = manifests.withColumns({"_from": F.col("stage"), "_action": F.lit("skipped"), "_error": F.lit(None).cast("string"), "_open": ~terminal(manifests) & (F.col("stage") != "deleted")})
     resumed = F.col("_open") & (F.col("stage") == "failed")
     at = start.withColumn("stage", F.when(resumed, F.coalesce("failed_from_stage", F.lit("local"))).otherwise(F.col("stage")))
@@ -92,12 +94,13 @@ def replayed(manifests: DataFrame, steps: Mapping[str, Step], now: Column, most:
         if stage not in steps:
             continue
         here = F.col("_open") & F.col("_error").isNull() & (F.col("stage") == stage)
-        done = steps[stage](at.where(here).select(*manifests.columns))
+        done = cut(steps[stage](at.where(here).select(*manifests.columns)))
         path = F.col("remote_path") if "remote_path" in done.columns else F.lit(None).cast("string")
         told = done.select(F.col("manifest_id").alias("_m"), F.col("error").cast("string").alias("_e"), path.alias("_r"), F.lit(True).alias("_did"))
         met = at.join(told, F.col("manifest_id") == F.col("_m"), "left")
         well = F.coalesce(F.col("_did") & F.col("_e").isNull(), F.lit(False))
         at = met.withColumns({"stage": F.when(well, F.lit(following)).otherwise(F.col("stage")), "_action": F.when(well, F.lit(action)).otherwise(F.col("_action")), "_error": F.coalesce("_e", "_error"), "remote_path": F.coalesce("_r", "remote_path")}).drop("_m", "_e", "_r", "_did")
+        at = cut(at)
     bad = F.col("_error").isNotNull()
     verdict = rules.retry_decision(F.col("_error"), F.col("retry_count"), most)
     moved = (F.col("stage") != F.col("_from")) & ~bad

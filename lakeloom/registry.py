@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.versions import scratch as scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -30,13 +30,3 @@ class Registry:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared one. A session that names none has to be a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="lakeloom-")
-    return f"{base.rstrip('/')}/lake-{uuid.uuid4().hex}"

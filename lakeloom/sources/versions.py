@@ -3,6 +3,9 @@ counts. Readers see the old table or the new one, never half of either; two writ
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 POINTER = "_current"
@@ -55,3 +58,20 @@ def save(df: DataFrame, root: str, keep: int = 3) -> int:
     if version > keep and fs.exists(old):
         fs.delete(old, True)
     return version
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under the shared one. A session that names none has to be a local one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="lakeloom-")
+    return f"{base.rstrip('/')}/lake-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: worked out once, here and now, and with no lineage behind it."""
+    where = scratch(df.sparkSession)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
