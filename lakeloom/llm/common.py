@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,19 @@ from pyspark.sql import functions as F
 
 #: Spark deletes a query's shuffle files at its end.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Paths that stored() has written and release() hasn't deleted.
-WRITTEN: list[str] = []
+
+
+class Written(threading.local):
+    """Paths that stored() has written in this thread and release() hasn't deleted."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __len__(self) -> int:
+        return len(self.paths)
+
+
+WRITTEN = Written()
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -38,7 +50,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: the lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    WRITTEN.append(path)
+    WRITTEN.paths.append(path)
     # What the write shuffled is of no use once it is done; without this it would stay until the driver collects garbage.
     kept = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -50,15 +62,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Deletes what stored() has written from its `since`th table on, except what `keep` reads. Only for results that
-    nothing will compute again."""
+    """Deletes what stored() has written in this thread from its `since`th table on, except what `keep` reads. Only for
+    results that nothing will compute again."""
     kept = set(keep.inputFiles()) if keep is not None else set()
-    for path in WRITTEN[since:]:
+    for path in WRITTEN.paths[since:]:
         name = path.rsplit("/", 1)[-1]
         if not any(f"/{name}/" in f for f in kept):
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-            WRITTEN.remove(path)
+            WRITTEN.paths.remove(path)
 
 
 def same(a: Column, b: Column) -> Column:

@@ -183,7 +183,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: `id_col`, n_blocks, licenses (sorted), reduction, n_differences, differences, spans.
 
     reduction is the best relative size reduction of a candidate block; spans are code points of confirmed wordings,
-    which may lie across blocks or outside of them. A null or empty text has no blocks. Repeated rows give repeated results; other columns are not read.
+    which may lie across blocks or outside of them. Texts of any length are read whole. Of equal reductions none is
+    preferred, as only the figure is returned, and wordings don't depend on it; of wordings of one licence that begin at
+    one place the longest counts. A null or empty text has no blocks. Repeated rows give repeated results; an empty
+    table gives an empty result. Other columns are not read, so their names can't clash.
     """
 
     def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -47,8 +47,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents are linked when 100 * intersection >= percent * union of their shingle sets. A document without words
     (or null text) is linked with nothing and is its own component. Rows that repeat an id are told apart by text;
-    kept tells the rows whose id is their component's. A null id never names a component that has other ids. Other
-    columns are not read. An empty table gives an empty result.
+    kept tells the rows whose id is their component's, so of rows that tie, repeating id and text, all are kept. A null
+    id never names a component that has other ids. Texts of any length are read whole. Other columns are not read, so
+    their names can't clash. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType
