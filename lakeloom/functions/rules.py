@@ -130,6 +130,12 @@ def durable_month(state: Column) -> Column:
     return (is_true("$.month_complete") & is_true("$.archive_access_validated")) | (is_true("$.free_access_complete") & (F.get_json_object(state, "$.stop_reason") == "free_access_boundary"))
 
 
+def durable_request(state: Column, mode: Column, signature: Column) -> Column:
+    """Whether a scope's JSON checkpoint spares a full crawl: it is complete and was made by the same request."""
+    same = F.get_json_object(state, "$.request_signature") == signature
+    return F.coalesce((mode == "full") & (F.get_json_object(state, "$.scope_complete") == "true") & same, F.lit(False))
+
+
 def month_status(state: Column) -> Column:
     """natural, free_access, failed, partial, or missing for null."""
     is_true = lambda p: F.coalesce(F.get_json_object(state, p) == "true", F.lit(False))

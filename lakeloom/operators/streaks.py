@@ -52,10 +52,12 @@ def paging_stop(pages: DataFrame, key: Sequence[str], order: str, ids: str, n_ne
     return ended.select(*key, "stop_page", "why")
 
 
-def until_empty(pages: DataFrame, key: Sequence[str], order: str, n_items: str) -> DataFrame:
-    """The pages before the first empty one."""
+def until_empty(pages: DataFrame, key: Sequence[str], order: str, n_items: str, start: int | None = None, most: int | None = None) -> DataFrame:
+    """The pages before the first empty one, from page `start` on, and at most so many."""
+    own = pages if start is None else pages.where(F.col(order) >= start)
     upto = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return pages.withColumn("_least", F.min(n_items).over(upto)).where(F.col("_least") > 0).drop("_least")
+    out = own.withColumns({"_least": F.min(n_items).over(upto), "_at": F.row_number().over(Window.partitionBy(*key).orderBy(order))})
+    return out.where((F.col("_least") > 0) & (F.lit(True) if most is None else F.col("_at") <= most)).drop("_least", "_at")
 
 
 def harvested(batches: DataFrame, known: DataFrame, key: Sequence[str], order: str, id_: str, after: int = 3) -> DataFrame:

@@ -479,6 +479,14 @@ def q_until_empty(spark, sf_dir):
     return streaks.until_empty(pages(spark, sf_dir), ["user_id"], "page", "n_new").select("user_id", "page")
 
 
+@twin(f"WITH p AS ({USERPAGES}), q AS (SELECT * FROM p WHERE page >= 3), e AS (SELECT user_id, min(page) FILTER (n_new = 0) AS empty FROM q GROUP BY user_id), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page) AS at_ FROM q), w AS (SELECT user_id, page FROM r JOIN e USING (user_id) WHERE at_ <= 4 AND (empty IS NULL OR page < empty)) SELECT w.user_id, w.page, event_id FROM w JOIN events ON events.user_id = w.user_id AND day(ts) = w.page")
+def q_relation_pages(spark, sf_dir):
+    """All rows of at most four pages from the third on, up to the first without news; rows that come again stay."""
+    read = streaks.until_empty(pages(spark, sf_dir), ["user_id"], "page", "n_new", start=3, most=4).select("user_id", "page")
+    rows = table(spark, sf_dir, "events").select("user_id", F.dayofmonth("ts").cast("long").alias("page"), "event_id")
+    return read.join(rows, ["user_id", "page"])
+
+
 @twin("WITH b AS (SELECT user_id, CAST(day(ts) AS BIGINT) AS page, event_id % 40 AS id FROM events), n AS (SELECT user_id, id, min(page) AS page FROM b WHERE id % 4 > 0 GROUP BY ALL), c AS (SELECT DISTINCT user_id, page FROM b), k AS (SELECT c.user_id, c.page, count(n.id) AS n_new FROM c LEFT JOIN n USING (user_id, page) GROUP BY ALL), q AS (SELECT *, sum(CASE WHEN n_new > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY page) AS part FROM k), s AS (SELECT *, sum(CASE WHEN n_new > 0 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, part ORDER BY page) AS streak FROM q), t AS (SELECT user_id, min(page) FILTER (streak >= 2) AS stop_page FROM s GROUP BY user_id) SELECT user_id, page, id FROM n JOIN t USING (user_id) WHERE stop_page IS NULL OR page <= stop_page")
 def q_harvest(spark, sf_dir):
     batches = table(spark, sf_dir, "events").select("user_id", F.dayofmonth("ts").cast("long").alias("page"), (F.col("event_id") % 40).alias("id"))

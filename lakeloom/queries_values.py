@@ -119,3 +119,11 @@ def q_run_plans(spark, sf_dir):
 @twin("SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), 0) AS k, CAST(0 AS BIGINT) AS missing, props AS compact FROM events".replace("props AS compact", "replace(props, ' ', '') AS compact"))
 def q_runtime_values(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", rules.counter_of(F.col("props"), "$.runtime.k", "$.k").alias("k"), rules.counter_of(F.col("props"), "$.nothing").alias("missing"), text.compact_json(F.col("props")).alias("compact"))
+
+
+@twin("SELECT o_orderkey, o_orderkey % 3 = 0 AND o_custkey % 2 = 0 AND o_orderkey % 5 > 0 AS durable, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus ELSE '' END AS sort_text FROM orders")
+def q_durable_requests(spark, sf_dir):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    state = F.concat(F.lit('{"scope_complete":'), F.when(k % 3 == 0, "true").otherwise("false"), F.lit(',"request_signature":"'), F.when(c % 2 == 0, "a").otherwise("b"), F.lit('"}'))
+    durable = rules.durable_request(state, F.when(k % 5 > 0, "full").otherwise("incremental"), F.lit("a"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", durable.alias("durable"), text.sort_text(F.when(k % 5 > 0, F.col("o_orderstatus"))).alias("sort_text"))
