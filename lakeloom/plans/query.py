@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import re
 import time
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, replace
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..model import COLUMNS, DATASETS, RECORD, DatasetSpec
 from ..sources import catalog
-from ..sources.lake import checked_size
+from ..sources.lake import checked_size, lake_schema
 
 DAY = dt.timedelta(days=1)
 
@@ -205,6 +206,29 @@ def on_lake(lake: DataFrame, spec: QuerySpec) -> DataFrame:
     return ordered(out.where(predicate(q)).select(*q.columns))
 
 
+def globs(root: str, q: NormalQuery) -> list[str]:
+    """Patterns of the directories that may hold rows: by day for two months at most, else by month, and by bucket."""
+    name = lambda v: v if v and re.fullmatch(r"[\w.:-]+", v) else "*"
+    base = f"{root}/site={name(q.site_id)}/country_code={name(q.country)}/dataset_name={name(q.spec.name)}"
+    buckets = "{" + ",".join(q.buckets) + "}" if q.buckets is not None else "*"
+    if not q.dates:
+        return [f"{base}/year=*/month=*/day=*/bucket={buckets}"]
+    days = [q.dates[0] + i * DAY for i in range((q.dates[1] - q.dates[0]).days + 1)]
+    which = [(f"{d:%Y}", f"{d:%m}", f"{d:%d}") for d in days] if len(days) <= 62 else sorted({(f"{d:%Y}", f"{d:%m}", "*") for d in days})
+    return [f"{base}/year={y}/month={m}/day={d}/bucket={buckets}" for y, m, d in which]
+
+
+def on_root(spark: SparkSession, root: str, spec: QuerySpec) -> DataFrame:
+    """The query on a lake's folder. Only directories that may hold rows are listed, however many there are."""
+    q = normalised(spec)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [str(s.getPath().toString()) for g in globs(root, q) for s in fs.globStatus(hadoop(g)) or ()]
+    if not found:
+        return spark.createDataFrame([], RECORD).select(*q.columns)
+    return on_lake(spark.read.schema(lake_schema()).option("basePath", root).parquet(*found), spec)
+
+
 def on_records(records: DataFrame, spec: QuerySpec) -> DataFrame:
     """The query on any DataFrame with the record columns."""
     q = normalised(spec)

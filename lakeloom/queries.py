@@ -119,8 +119,7 @@ def event_lake(spark, sf_dir) -> str:
 
 
 def q_pruned_equals_full(spark, sf_dir):
-    root = event_lake(spark, sf_dir)
-    return shown(query.on_lake(lake.read_lake(spark, root), spec(instrument_ids=["XUSR:000008", "XUSR:000046", "XUSR:000011"], country="US", **SEOUL)))
+    return shown(query.on_root(spark, event_lake(spark, sf_dir), spec(instrument_ids=["XUSR:000008", "XUSR:000046", "XUSR:000011"], country="US", **SEOUL)))
 
 
 def q_catalog_query(spark, sf_dir):

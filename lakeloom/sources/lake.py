@@ -107,8 +107,11 @@ def write_lake(records: DataFrame, spec: DatasetSpec, root: str, max_records: in
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
     """All records with their path columns, the latter as text whatever they look like. The schema is given, so no
     file is opened to find it."""
-    schema = T.StructType([*RECORD.fields, *[T.StructField(c, T.StringType()) for c in PARTITIONS]])
-    return spark.read.schema(schema).parquet(root)
+    return spark.read.schema(lake_schema()).parquet(root)
+
+
+def lake_schema() -> T.StructType:
+    return T.StructType([*RECORD.fields, *[T.StructField(c, T.StringType()) for c in PARTITIONS]])
 
 
 def files_of(records: DataFrame, spec: DatasetSpec) -> DataFrame:

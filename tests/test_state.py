@@ -92,6 +92,17 @@ def test_a_large_partition_is_several_tasks(spark, tmp_path):
     assert lake.read_lake(spark, str(tmp_path / "y")).count() == 400
 
 
+def test_only_directories_that_may_hold_rows_are_listed(spark, tmp_path):
+    root = str(tmp_path / "a b")
+    lake.write_lake(records(spark), FORUM, root)
+    for how in ({}, {"start_date": "2026-07-02", "end_date": "2026-07-02"}, {"instrument_id": "XKRX:000001"}, {"start_date": "2020-01-01", "end_date": "2026-07-01"}, {"start_date": "2030-01-01", "end_date": "2030-01-02"}, {"country": "US"}):
+        asked = query.QuerySpec("s", "forum_post", columns=("record_uid", "event_time"), **how)
+        got, want = (q.collect() for q in (query.on_root(spark, root, asked), query.on_lake(lake.read_lake(spark, root), asked)))
+        assert got == want, how
+    one = query.normalised(query.QuerySpec("s", "forum_post", instrument_id="XKRX:000001", start_date="2026-07-02", end_date="2026-07-02"))
+    assert len(query.globs(root, one)) == 1 and query.globs(root, one)[0].endswith(f"/year=2026/month=07/day=02/bucket={{{one.buckets[0]}}}")
+
+
 def test_versions(spark, tmp_path):
     root = str(tmp_path / "t")
     assert versions.load(spark, root, "a long").count() == 0 and versions.current(spark, root) == 0
