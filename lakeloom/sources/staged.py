@@ -1,7 +1,7 @@
 """Staged pages as a Spark data source: what a fetcher left as JSON lines, one file a scope and dataset.
 
 The seam between fetching and the engine: an adapter says which tasks there are and fetches one; stage() keeps what it
-got, and spark.read.format("staged_pages") reads it back, a partition for each file.
+got, and spark.read.format("staged_pages") reads it back, many small files to a partition.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from collections.abc import Iterable, Iterator, Mapping
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+#: Bytes of files that a partition takes, and those that a file counts as besides its own: 512 files at most.
+PARTITION, OPENING = 4 << 20, 8 << 10
 SCHEMA = "site_id string, dataset string, scope string, page int, status int, url string, body string, fetched_at timestamp"
 
 
@@ -58,31 +60,48 @@ def stage(adapter: SiteAdapter, dataset: str, root: str, stop=None) -> int:
     return n
 
 
-class StagedFile(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
+class StagedFiles(InputPartition):
+    def __init__(self, paths: list[str]):
+        super().__init__(paths)
+        self.paths = paths
+
+
+def packed(sizes: Mapping[str, int], tasks: int) -> list[list[str]]:
+    """All files in their order, as many to a part as PARTITION allows, fewer where that leaves some of `tasks` without
+    work. A file stays whole, so one beyond PARTITION is a part of its own."""
+    cost = {p: n + OPENING for p, n in sizes.items()}
+    most = min(PARTITION, -(-sum(cost.values()) // max(1, tasks)))
+    out, room = [], 0
+    for path, n in cost.items():
+        if not out or n > room:
+            out.append([])
+            room = most
+        out[-1].append(path)
+        room -= n
+    return out
 
 
 class StagedReader(DataSourceReader):
-    def __init__(self, root: str, site: str, dataset: str):
-        self.where = os.path.join(root, site, dataset, "*.jsonl.gz")
+    def __init__(self, root: str, site: str, dataset: str, tasks: int):
+        self.where, self.tasks = os.path.join(root, site, dataset, "*.jsonl.gz"), tasks
 
     def partitions(self) -> list[InputPartition]:
-        return [StagedFile(p) for p in sorted(glob.glob(self.where))]
+        return [StagedFiles(paths) for paths in packed({p: os.path.getsize(p) for p in sorted(glob.glob(self.where))}, self.tasks)]
 
-    def read(self, partition: StagedFile) -> Iterator[tuple]:
+    def read(self, partition: StagedFiles) -> Iterator[tuple]:
         from datetime import datetime
 
-        with gzip.open(partition.path, "rt", encoding="utf-8") as lines:
-            for text in lines:
-                p = json.loads(text)
-                when = p.get("fetched_at")
-                yield (p["site_id"], p["dataset"], p["scope"], p["page"], p.get("status", 200), p.get("url"), p.get("body"), datetime.fromisoformat(when) if when else None)
+        for path in partition.paths:
+            with gzip.open(path, "rt", encoding="utf-8") as lines:
+                for text in lines:
+                    p = json.loads(text)
+                    when = p.get("fetched_at")
+                    yield (p["site_id"], p["dataset"], p["scope"], p["page"], p.get("status", 200), p.get("url"), p.get("body"), datetime.fromisoformat(when) if when else None)
 
 
 class StagedPages(DataSource):
-    """Options: path (a folder that all executors see), site, dataset (both `*` unless given)."""
+    """Options: path (a folder that all executors see), site, dataset (both `*` unless given), tasks (how many should
+    have work, 1 unless given)."""
 
     @classmethod
     def name(cls) -> str:
@@ -92,9 +111,9 @@ class StagedPages(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return StagedReader(self.options["path"], self.options.get("site", "*"), self.options.get("dataset", "*"))
+        return StagedReader(self.options["path"], self.options.get("site", "*"), self.options.get("dataset", "*"), int(self.options.get("tasks", 1)))
 
 
 def read_staged(spark: SparkSession, root: str, site: str = "*", dataset: str = "*"):
     spark.dataSource.register(StagedPages)
-    return spark.read.format("staged_pages").option("path", root).option("site", site).option("dataset", dataset).load()
+    return spark.read.format("staged_pages").option("path", root).option("site", site).option("dataset", dataset).option("tasks", spark.sparkContext.defaultParallelism).load()

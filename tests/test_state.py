@@ -198,6 +198,27 @@ def test_staged_pages_are_kept_once(tmp_path, spark):
     assert staged.read_staged(spark, str(tmp_path)).groupBy("scope").count().count() == 2 and not list(Site().attachments({}))
 
 
+def test_small_staged_files_share_partitions(tmp_path, spark):
+    class Site(staged.SiteAdapter):
+        site_id = "x"
+
+        def tasks(self, dataset):
+            return [f"s{i:03d}" for i in range(300)]
+
+        def fetch(self, dataset, scope):
+            yield {"page": 1, "body": scope}
+            yield {"page": 2, "body": ""}
+
+    staged.stage(Site(), "d", str(tmp_path))
+    read = staged.read_staged(spark, str(tmp_path))
+    assert 4 <= read.rdd.getNumPartitions() <= 8
+    assert sorted((r.scope, r.page, r.body) for r in read.collect()) == sorted(x for i in range(300) for x in ((f"s{i:03d}", 1, f"s{i:03d}"), (f"s{i:03d}", 2, "")))
+    big, small = staged.PARTITION, {f"f{i}": 1 for i in range(1000)}
+    parts = staged.packed({"a": big, **small, "z": big}, 1)
+    assert [len(p) for p in parts] == [1, 511, 489, 1] and sum(parts, []) == ["a", *small, "z"]
+    assert staged.packed({}, 4) == []
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a b.txt").write_text("x")
     assert files.copied(spark, [(f"{tmp_path}/a b.txt", f"{tmp_path}/o/c d.txt", 1)]) == ["stored"]
