@@ -88,10 +88,10 @@ def structured(json: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(F.get_json_object(json, n), F.lit("")) for n in names])
 
 
-def article_text(html: str | None, selectors: tuple[str, ...], least: int) -> str | None:
+def article_text(html: str | None, selectors: tuple[str, ...], least: int, strict: bool = False) -> str | None:
     """The text of the first selector (tag, .class or #id) whose first element has at least `least` characters, without
-    noise; a line for each block. The page is parsed once for all selectors."""
-    page = parse(html)
+    noise; a line for each block. The page is parsed once for all selectors. strict: see parse()."""
+    page = parse(html, strict)
 
     def pieces(node: Node) -> Iterator[str]:
         for c in node.children:
@@ -111,8 +111,8 @@ def article_text(html: str | None, selectors: tuple[str, ...], least: int) -> st
     return None
 
 
-def article(html: Column, selectors: tuple[str, ...] = ("article", "main", "#content", "body"), least: int = 100) -> Column:
-    return F.pandas_udf(lambda rows: pd.Series([article_text(h, selectors, least) for h in rows], dtype=object), "string")(html)
+def article(html: Column, selectors: tuple[str, ...] = ("article", "main", "#content", "body"), least: int = 100, strict: bool = False) -> Column:
+    return F.pandas_udf(lambda rows: pd.Series([article_text(h, selectors, least, strict) for h in rows], dtype=object), "string")(html)
 
 
 def unescape(text: Column) -> Column:

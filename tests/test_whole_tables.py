@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import duckdb
 from lakeloom import queries
+from lakeloom.functions import extract
 
 
 def parts_by_both(spark, tmp_path, name, *keys):
@@ -41,6 +42,18 @@ def test_rows_of_whole_pages(spark, tmp_path):
     assert got == [(1, 0, "own|row"), (1, 1, "id|1"), (1, 2, "a b"), (2, 0, "id|2"), (2, 1, "a b")]
 
 
+def test_entities_that_were_cut(spark, tmp_path):
+    bodies = ["&amp;&amp;&amp", "a &lt b &am", "&lt;b&gt; &quot;x&quot; R&D &unknown; &ampere; &amp;lt;", "<a href='?a=1&amp=2&copy=3'>l</a> &nbsp x"]
+    pages = [(i, f"<html><body><article><p>{'text ' * 30}{b}</p></article></body></html>") for i, b in enumerate(bodies)]
+    spark.createDataFrame([*pages, (9, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = sorted(map(tuple, queries.q_html_article(spark, str(tmp_path)).collect()))
+    assert got == sorted(con.execute(entry.oracle_sql()["q_html_article"]).fetchall())
+    assert extract.article_text(f"<body>{bodies[0]}</body>", ("body",), 1) == "&&&"
+    assert extract.article_text(f"<body>{bodies[0]} &eacute; &#8217; &#x41; &#39</body>", ("body",), 1, strict=True) == "&&&amp é ’ A &#39"
+
+
 def test_codes_of_long_keys(spark, tmp_path):
     got, want = parts_by_both(spark, tmp_path, "q_hkex_codes", 0, 16, 80016, 99999, 100000, 119999, 1000001)
     assert got == want and (100000, "10000,00080", "XHKG:00000") in got
