@@ -42,10 +42,10 @@ def attached(reports: DataFrame, attachments: DataFrame) -> DataFrame:
     return reports.join(attachments.withColumnRenamed("parent_record_uid", "record_uid"), "record_uid")
 
 
-def first_of_types(results: DataFrame, key: str, types: Sequence[str], kind: str = "report_type") -> DataFrame:
-    """The results of several searches as one; of equal keys the one of the first type stays."""
+def first_of_types(results: DataFrame, key: str | Sequence[str], types: Sequence[str], kind: str = "report_type") -> DataFrame:
+    """The results of several searches as one; of equal keys (a column or several) the one of the first type stays."""
     rank = F.array_position(F.array(*[F.lit(t) for t in types]), F.col(kind))
-    best = results.groupBy(key).agg(F.min_by(F.struct(*results.columns), rank).alias("_r"))
+    best = results.groupBy(*([key] if isinstance(key, str) else key)).agg(F.min_by(F.struct(*results.columns), rank).alias("_r"))
     return best.select("_r.*")
 
 

@@ -62,3 +62,8 @@ def test_codes_of_long_keys(spark, tmp_path):
 def test_results_of_long_keys(spark, tmp_path):
     got, want = parts_by_both(spark, tmp_path, "q_hkex_results", 0, 16, 99999, 100000, 119999, 1000001)
     assert got == want and {r[0]: r[2] for r in got}[119999] == "11999"
+
+
+def test_listings_of_long_keys(spark, tmp_path):
+    got, want = parts_by_both(spark, tmp_path, "q_market_sum", 0, 1, 99999, 100000, 100001, 999999, 1000000, 1000001, 1000019)
+    assert got == want and [r[1] for r in got if r[0] == "100000"] == ["name 100000", "name 1000000", "name 1000001"]
