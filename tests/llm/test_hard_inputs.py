@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import pytest
 from lakeloom.llm import common, language, near_dedup, substring_dedup, suffix_sort, url_filter
 from lakeloom.llm.exact_dedup import drop_exact_copies, exact_dedup
@@ -110,6 +112,40 @@ def test_tables_of_any_size(spark, monkeypatch):
     assert np.allclose([g[-1] for g in got], [w[-1] for w in want])
 
 
+def test_hosts_of_many_strings():
+    """A host has up to 63 strings a letter. They leave a worker in batches, and what is found comes back host by host."""
+    rng = random.Random(5)
+    label = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    hosts = [f"{label(60)}.{label(60)}.com" for _ in range(200)] + [label(10_000) + ".com", "x.com", ""]
+    frame = pd.DataFrame({"_k": [str(i) for i in range(len(hosts))], "host": hosts})
+    tracemalloc.start()
+    sizes = [len(batch) for batch in url_filter.candidates(63)(iter([frame]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) > 1_200_000 and max(sizes) < 2 * url_filter.LOOKED_UP + 63 and peak < 20_000_000
+    few = frame.iloc[[0, -3, -2, -1]]
+    got = {tuple(r) for batch in url_filter.candidates(5)(iter([few])) for r in batch.itertuples(index=False)}
+    assert got == {(k, label[a : a + n]) for k, host in zip(few["_k"], few["host"], strict=True) for label in host.split(".")[:-1] for n in range(2, 6) for a in range(len(label) - n + 1)}
+
+    rows = [("a", "", "bad", 2), ("a", "badcab.com", "", 0), ("a", "", "cab", 3), ("b", "cab.com", "", 0), ("c", "", "", 0)]
+    parts = [pd.DataFrame(rows[a:b], columns=["_k", "host", "w", "n"]) for a, b in ((0, 1), (1, 4), (4, 5))]
+    words = pd.concat(url_filter.cut(url_filter.Segmenter({"d": 1}, 10))(iter(parts)))
+    assert list(words.itertuples(index=False, name=None)) == [("badcab.com", ["bad", "cab"]), ("cab.com", ["cab"]), ("", [])]
+
+
+def test_hosts_of_any_length(spark, monkeypatch):
+    """Long hosts that begin alike keep their own words, with the lexicon held by workers and joined."""
+    words = ["green", "garden", "blog", "news", "sport", "ocean", "river"]
+    hosts = ["green" * 12 + end for end in ("abc", "abcd", "blog", "news", "newsblog", "blognews")] + ["garden" * 9 + "ocean" * n for n in (1, 2, 3, 2000)]
+    rows = [(i, f"http://{h}.{top}/en/{i % 3}", f"<b>{' '.join(words[: 1 + i % 7])}</b>") for i, (h, top) in enumerate((h, top) for h in hosts for top in ("com", "net", "org"))]
+    pages = docs_of(spark, rows, "page_id long, url string, html string")
+    want = sorted(map(tuple, filter_urls(pages).collect()))
+    assert len(want) == len(rows) and {w[5] for w in want} >= {"green " * 12 + "news blog", "green " * 12 + "blog news", "garden " * 9 + "ocean " * 1999 + "ocean"}
+    monkeypatch.setattr(url_filter, "LEXICON", 2)
+    got = sorted(map(tuple, filter_urls(pages).collect()))
+    assert [g[:-1] for g in got] == [w[:-1] for w in want] and np.allclose([g[-1] for g in got], [w[-1] for w in want])
+
+
 def test_mix_of_hard_rows(spark):
     long_ = "word " * 400_000
     rows = [(i, f"t{i}", "big", "in") for i in range(90)] + [(None, None, None, None)] * 7 + [(3, long_, "s", "in"), (3, "", "s", "x"), (3, "", "s", "y"), (3, "", "s", "y")]
