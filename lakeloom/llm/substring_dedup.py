@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .suffix_sort import KEY, anchors, common_prefixes, deep_shallow, keys_of, long_runs
+from .suffix_sort import KEY, agreement, anchors, common_prefixes, deep_shallow, keys_of, long_runs_of
 
 #: Different contexts of a key that are sorted in one task.
 HOT = 65_536
@@ -46,10 +46,6 @@ TEXTS, BATCH = 256, 1 << 24
 RANGES = 8
 
 
-def utf8(text: str | None) -> bytes:
-    return text.encode("utf-8", "surrogatepass") if text else b""
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
     """One row per document: `id_col`, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -114,76 +110,66 @@ def sorted_runs(groups: DataFrame, length: int) -> DataFrame:
     return met.mapInArrow(lambda b: repeated(b, length), "_key long, _whole long, _lo int, _hi int")
 
 
+def joined(column: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The UTF-8 of a column's texts as it lies there, one after the other, and where each text ends."""
+    own = column.cast(pa.large_string()).cast(pa.large_binary())
+    bounds = np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1]
+    return memoryview(own.buffers()[2] or b"")[bounds[0] : bounds[-1]], bounds[1:] - bounds[0]
+
+
+def starts_of(ends: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], ends[:-1]]).astype(np.int64)
+
+
 def anchored(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in parts(batches):
-        refs, keys, places, size = [], [], [], 0
-        for ref, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            data = utf8(text)
-            at = anchors(data, length)
-            refs.append(np.full(len(at), ref, np.int64))
-            places.append(at.astype(np.int32))
-            keys.append(keys_of(data, at))
-            size += 20 * len(at)
-            if size > BATCH:
-                yield table("_ref _key _pos", *((np.concatenate(c), t) for c, t in ((refs, pa.int64()), (keys, pa.int64()), (places, pa.int32()))))
-                refs, keys, places, size = [], [], [], 0
-        if refs:
-            yield table("_ref _key _pos", *((np.concatenate(c), t) for c, t in ((refs, pa.int64()), (keys, pa.int64()), (places, pa.int32()))))
-
-
-def context(data: bytes, at: int, length: int) -> tuple[int, int, bytes]:
-    """(hash, bytes before the anchor, bytes) of the reach of strings that have this anchor."""
-    left = min(at, length - KEY)
-    own = data[at - left : at + length]
-    return xxhash.xxh3_64_intdigest(own, seed=left) - (1 << 63), left, own
-
-
-def valid(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, list[tuple[int, int]]]]:
-    """(ref, text, [(position, key)]), without positions of another text of the same name."""
-    lists = batch.column(batch.schema.get_field_index("_at"))
-    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-    all_at = lists.flatten().to_numpy(zero_copy_only=False)
-    all_keys = batch.column(batch.schema.get_field_index("_keys")).flatten().to_numpy(zero_copy_only=False)
-    start = 0
-    for ref, text, end in zip(batch.column(batch.schema.get_field_index("_ref")).to_pylist(), batch.column(batch.schema.get_field_index("_text")).to_pylist(), ends.tolist(), strict=True):
-        data, at, keys = utf8(text), all_at[start:end].astype(np.int64), all_keys[start:end]
-        fit = keys_of(data, at) == keys
-        yield ref, data, list(zip(at[fit].tolist(), keys[fit].tolist(), strict=True))
-        start = end
+        data, ends = joined(batch.column(1))
+        at = anchors(data, length, ends)
+        text = np.searchsorted(ends, at, side="right")
+        refs, places = batch.column(0).to_numpy()[text], (at - starts_of(ends)[text]).astype(np.int32)
+        for lo in range(0, len(at), BATCH // 20 + 1):
+            now = slice(lo, lo + BATCH // 20 + 1)
+            yield table("_ref _key _pos", (refs[now], pa.int64()), (keys_of(data, at[now], ends[text[now]]), pa.int64()), (places[now], pa.int32()))
+
+
+def valid(batch: pa.RecordBatch, length: int, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of anchors, without positions of another text of the same name: (ref, position, key, hash of the context, bytes
+    of it before the anchor, its bytes). A context is the reach of strings that have this anchor. So many at a time that
+    those of `size` bytes each are BATCH bytes."""
+    column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+    data, ends = joined(column["_text"])
+    starts, refs = starts_of(ends), column["_ref"].to_numpy()
+    text = np.repeat(np.arange(len(ends)), column["_at"].value_lengths().to_numpy(zero_copy_only=False))
+    places, keys = (column[c].flatten().to_numpy(zero_copy_only=False) for c in ("_at", "_keys"))
+    each = BATCH // size + 1
+    for lo in range(0, len(text), each):
+        of, pos, key = text[lo : lo + each], places[lo : lo + each].astype(np.int64), keys[lo : lo + each]
+        fit = (pos >= 0) & (keys_of(data, starts[of] + pos, ends[of]) == key)
+        of, pos, key = of[fit], pos[fit], key[fit]
+        left = np.minimum(pos, length - KEY)
+        first, end = starts[of] + pos - left, np.minimum(starts[of] + pos + length, ends[of])
+        own = [data[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+        whole = np.array([xxhash.xxh3_64_intdigest(x, n) for x, n in zip(own, left.tolist(), strict=True)], np.uint64).view(np.int64)
+        yield refs[of], pos, key, whole, left, own
 
 
 def in_context(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
     for batch in parts(batches):
-        held: dict[tuple[int, int], list] = {}
-        size = 0
-        for _, data, all_ in valid(batch):
-            for at, key in all_:
-                whole, left, own = context(data, at, length)
-                if (key, whole) in held:
-                    held[key, whole][2] += 1
-                    continue
-                held[key, whole] = [left, own, 1]
-                size += len(own) + 28
-                if size > BATCH:
-                    yield table("_key _whole _left _bytes _n", *zip(zip(*((*k, *v) for k, v in held.items()), strict=True), kinds, strict=True))
-                    held, size = {}, 0
-        if held:
-            yield table("_key _whole _left _bytes _n", *zip(zip(*((*k, *v) for k, v in held.items()), strict=True), kinds, strict=True))
+        for _, _, key, whole, left, own in valid(batch, length, 2 * length - KEY + 28):
+            if not len(key):
+                continue
+            # Equal contexts are one row with a count.
+            order = np.lexsort((whole, key))
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(key[order]) != 0) | (np.diff(whole[order]) != 0)]))
+            n, one = np.diff(np.append(new, len(order))), order[new]
+            kinds = ((key[one], pa.int64()), (whole[one], pa.int64()), (left[one], pa.int32()), ([bytes(own[i]) for i in one.tolist()], pa.binary()), (n, pa.int64()))
+            yield table("_key _whole _left _bytes _n", *kinds)
 
 
 def places_of(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
     for batch in parts(batches):
-        out: list[tuple[int, int, int, int]] = []
-        for ref, data, all_ in valid(batch):
-            for at, key in all_:
-                out.append((ref, at, key, context(data, at, length)[0]))
-                if 24 * len(out) > BATCH:
-                    yield table("_ref _pos _key _whole", *zip(zip(*out, strict=True), kinds, strict=True))
-                    out = []
-        if out:
-            yield table("_ref _pos _key _whole", *zip(zip(*out, strict=True), kinds, strict=True))
+        for ref, pos, key, whole, _, _ in valid(batch, length, 24):
+            yield table("_ref _pos _key _whole", (ref, pa.int64()), (pos, pa.int32()), (key, pa.int64()), (whole, pa.int64()))
 
 
 def in_ranges(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -206,7 +192,7 @@ def repeated(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     at: tuple | None = None
     for batch in batches:
         out: list[tuple[int, int, int, int]] = []
-        key, part, a, b, whole, n, left, data = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_key", "_part", "_a", "_b", "_whole", "_n", "_left", "_bytes"))
+        key, part, a, b, whole, n, left, data = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).tolist() for c in ("_key", "_part", "_a", "_b", "_whole", "_n", "_left", "_bytes"))
         for i, k in enumerate(key):
             if at is None or at[0] != k or at[1] != part[i]:
                 if at is not None:
@@ -236,11 +222,7 @@ def runs_of(group: list[tuple], length: int, a: int, b: int) -> Iterator[tuple[i
     reach = length - KEY
     lefts = np.array([g[3] for g in group])
     rights = np.array([len(g[4]) - g[3] for g in group])
-    after, before = np.zeros((len(group), length), np.uint8), np.zeros((len(group), reach), np.uint8)
-    for i, g in enumerate(group):
-        own = np.frombuffer(g[4], np.uint8)
-        after[i, : rights[i]] = own[lefts[i] :]
-        before[i, : lefts[i]] = own[: lefts[i]][::-1]
+    after, before = in_rows([g[4][g[3] :] for g in group], length), in_rows([g[4][: g[3]][::-1] for g in group], reach)
     order_a, order_b = deep_shallow(after, rights), deep_shallow(before, lefts)
     lcp_a, lcp_b = common_prefixes(after, rights, order_a), common_prefixes(before, lefts, order_b)
     many = np.array([g[2] > 1 for g in group])
@@ -283,6 +265,11 @@ def runs_of(group: list[tuple], length: int, a: int, b: int) -> Iterator[tuple[i
         yield group[i][0], group[i][1], -(end - 1), length - first
 
 
+def in_rows(texts: list[bytes], width: int) -> np.ndarray:
+    """Each text as a row, zero beyond its length."""
+    return np.frombuffer(b"".join([t.ljust(width, b"\0") for t in texts]), np.uint8).reshape(len(texts), width)
+
+
 def neighbours(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     """The longest agreement of each row with any other."""
     out = np.zeros(len(order), np.int64)
@@ -318,14 +305,6 @@ def runs_of_two(group: list[tuple], length: int) -> Iterator[tuple[int, int, int
             yield g[0], g[1], -left, r
 
 
-def agreement(a: bytes, b: bytes) -> int:
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    differ = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
-    return n - 1 - (differ.bit_length() - 1) // 8
-
-
 def counted_runs(split: DataFrame, length: int) -> DataFrame:
     """The runs of parts of keys that still have too many contexts for one task: their strings are counted by hash."""
 
@@ -347,16 +326,34 @@ def counted_runs(split: DataFrame, length: int) -> DataFrame:
 
 def cut_out(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in parts(batches):
-        out = []
-        for ref, text, spans in zip(*(batch.column(c).to_pylist() for c in ("_ref", "_text", "_spans")), strict=True):
-            data, kept, at, n, removed = utf8(text), hashlib.sha256(), 0, 0, 0
-            for lo, hi in sorted([(s["lo"], s["hi"]) for s in spans] + [run[:2] for run in long_runs(data, length)]):
-                if lo > at or not n:
-                    n += 1
-                    kept.update(data[at:lo])
-                    at = lo
-                removed += max(0, hi - at)
-                at = max(at, hi)
-            kept.update(data[at:])
-            out.append((ref, len(data), removed, n, kept.hexdigest()))
-        yield table("_ref _size _removed _n_spans _sha", *(([x[i] for x in out], t) for i, t in enumerate((pa.int64(),) * 4 + (pa.string(),))))
+        column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        data, ends = joined(column["_text"])
+        starts = starts_of(ends)
+        runs = [(i, *run[:2]) for i, of in long_runs_of(data, ends, length).items() for run in of]
+        spans = column["_spans"].flatten()
+        text = np.repeat(np.arange(len(ends)), column["_spans"].value_lengths().to_numpy(zero_copy_only=False))
+        more, los, his = (np.array([run[i] for run in runs], np.int64) for i in range(3))
+        text = np.concatenate([text, more])
+        lo, hi = (np.concatenate([spans.field(c).to_numpy(zero_copy_only=False), x]) for c, x in (("lo", los), ("hi", his)))
+        lo, hi = np.minimum((lo, hi), (ends - starts)[text])
+        # In one line, with a gap after each text, spans that overlap or touch become one.
+        shift = starts[text] + text
+        order = np.argsort(lo + shift, kind="stable")
+        text, lo, hi = text[order], (lo + shift)[order], np.maximum.accumulate((hi + shift)[order])
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(lo)), bool), lo[1:] > hi[:-1]]))
+        last = np.append(first[1:], len(lo)) - 1
+        text, lo, hi = text[first], lo[first] - text[first], hi[last[: len(first)]] - text[first]
+        n = np.bincount(text, minlength=len(ends))
+        removed = np.bincount(text, hi - lo, minlength=len(ends)).astype(np.int64)
+        at, shas = 0, []
+        los, his = lo.tolist(), hi.tolist()
+        for here, end, k in zip(starts.tolist(), ends.tolist(), n.tolist(), strict=True):
+            kept = hashlib.sha256()
+            for i in range(at, at + k):
+                kept.update(data[here : los[i]])
+                here = his[i]
+            kept.update(data[here:end])
+            shas.append(kept.hexdigest())
+            at += k
+        columns = ((column["_ref"], pa.int64()), (ends - starts, pa.int64()), (removed, pa.int64()), (n, pa.int64()), (shas, pa.string()))
+        yield table("_ref _size _removed _n_spans _sha", *columns)

@@ -17,18 +17,15 @@ SMALL = 12
 KEY, GRAM = 50, 16
 #: Longest period of a run, and bytes of a text that are looked at together.
 PERIODS, SEGMENT = 16, 1 << 20
-SHIFTS = np.arange(1, PERIODS + 1)
 
 
-def sliding(x: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
-    """op over each window of `width` consecutive values, by running values from both ends of blocks."""
-    n = len(x) - width + 1
-    full = np.full(-(-len(x) // width) * width, fill, x.dtype)
-    full[: len(x)] = x
-    blocks = full.reshape(-1, width)
-    ahead = op.accumulate(blocks, axis=1).ravel()
-    back = op.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return op(back[:n], ahead[width - 1 : width - 1 + n])
+def sliding(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
+    """op (minimum or maximum) over each window of `width` consecutive values, by windows of twice the width so far."""
+    reach = 1
+    while 2 * reach <= width:
+        x = op(x[:-reach], x[reach:])
+        reach *= 2
+    return op(x[: len(x) - width + reach], x[width - reach :]) if reach < width else x
 
 
 def long_runs(data: bytes, length: int) -> list[tuple[int, int, int]]:
@@ -38,10 +35,8 @@ def long_runs(data: bytes, length: int) -> list[tuple[int, int, int]]:
     own, least = np.frombuffer(data, np.uint8), 2 * length
     if len(own) < least:
         return out
-    # A long run has four samples in a row at least; only for periods that have them is every byte looked at.
-    at = np.arange(0, len(own) - PERIODS, (least - PERIODS) // 4 - 6)
-    some = own[at][:, None] == own[at[:, None] + SHIFTS]
-    for p in (np.flatnonzero((some[:-3] & some[1:-2] & some[2:-1] & some[3:]).any(axis=0)) + 1).tolist():
+    # Only for periods that have samples of a long run is every byte looked at.
+    for p in (np.flatnonzero(samples(own, length)[1].any(axis=0)) + 1).tolist():
         edges = np.flatnonzero(np.diff(np.concatenate([[False], own[:-p] == own[p:], [False]])))
         for lo, hi in zip(edges[::2].tolist(), (edges[1::2] + p).tolist(), strict=True):
             if hi - lo >= least and not any(a <= lo and hi <= b for a, b, _ in out):
@@ -49,43 +44,73 @@ def long_runs(data: bytes, length: int) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def anchors(data: bytes, length: int) -> np.ndarray:
+def samples(own: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and, for each and each period, whether four samples in a row from there on equal the bytes a period
+    later: a long run has such a place at least."""
+    step, end = (2 * length - PERIODS) // 4 - 6, len(own) - PERIODS
+    at = np.arange(0, end, step)
+    some = np.stack([own[:end:step] == own[p : end + p : step] for p in range(1, PERIODS + 1)], axis=1)
+    return at[:-3], some[:-3] & some[1:-2] & some[2:-1] & some[3:]
+
+
+def long_runs_of(data: bytes, ends: np.ndarray, length: int) -> dict[int, list[tuple[int, int, int]]]:
+    """long_runs of the texts that have any, by number. The texts lie one after the other in data and end at `ends`."""
+    own = np.frombuffer(data, np.uint8)
+    if len(own) < 2 * length:
+        return {}
+    at, some = samples(own, length)
+    out = {}
+    for i in np.unique(np.searchsorted(ends, at[some.any(axis=1)], side="right")).tolist():
+        if runs := long_runs(own[ends[i - 1] if i else 0 : ends[i]], length):
+            out[i] = runs
+    return out
+
+
+def anchors(data: bytes, length: int, ends: np.ndarray | None = None) -> np.ndarray:
     """Positions such that every window of `length` bytes has one of them at most length-KEY bytes after its start,
     found from the window's bytes alone: equal windows have equal anchors. A position is an anchor if its gram's hash
     is the least of a window's. In a long run, where all hashes of a period tie at every place, only the first windows
-    have anchors, two of each content; the others are known to be repeated."""
-    runs = long_runs(data, length)
-    if len(data) <= SEGMENT:
-        return segment_anchors(data, length, runs)
-    out = []
-    for lo in range(0, len(data), SEGMENT):
-        a, b = max(0, lo - length), min(len(data), lo + SEGMENT + length)
-        at = a + segment_anchors(data[a:b], length, [(x - a, y - a, p) for x, y, p in runs])
+    have anchors, two of each content; the others are known to be repeated. Where data is many texts, one after the
+    other, `ends` says where they end: no window goes beyond a text, and each text's anchors are those it has alone."""
+    ends = np.array([len(data)]) if ends is None else ends
+    own = np.frombuffer(data, np.uint8)
+    starts = np.concatenate([[0], ends[:-1]])
+    runs = [(lo + s, hi + s, p) for i, of in long_runs_of(own, ends, length).items() for s in [int(starts[i])] for lo, hi, p in of]
+    out = [np.empty(0, np.int64)]
+    for lo in range(0, len(own), SEGMENT):
+        a, b = max(0, lo - length), min(len(own), lo + SEGMENT + length)
+        inner = ends[np.searchsorted(ends, a, side="right") : np.searchsorted(ends, b)] - a
+        at = a + segment_anchors(own[a:b], length, [(x - a, y - a, p) for x, y, p in runs if x < b and y > a], inner.tolist())
         out.append(at[(at >= lo) & (at < lo + SEGMENT)])
     return np.concatenate(out)
 
 
-def segment_anchors(data: bytes, length: int, runs: list[tuple[int, int, int]]) -> np.ndarray:
+def segment_anchors(data: np.ndarray, length: int, runs: list[tuple[int, int, int]], inner: list[int]) -> np.ndarray:
+    """`inner`: where one text ends and the next begins."""
     if len(data) < length:
         return np.empty(0, np.int64)
     words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
     with np.errstate(over="ignore"):
         h = (words[:-8] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[8:] * np.uint64(0xC2B2AE3D27D4EB4F))
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+    # The upper half is enough, and faster; none is 0, which stands for windows that don't count.
     width = length - KEY + 1
-    h = h[: len(data) - KEY + 1]
-    least = sliding(h, width, np.minimum, np.iinfo(np.uint64).max)  # one for each window of `length` bytes
+    h = (h[: len(data) - KEY + 1] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    least = np.zeros(len(data) - length + 1 + 2 * (width - 1), np.uint32)
+    own = least[width - 1 : width - 1 + len(data) - length + 1]  # one for each window of `length` bytes
+    own[:] = sliding(h, width, np.minimum)
     for lo, hi, p in runs:
-        least[max(0, lo + 2 * p) : max(0, hi - length + 1)] = 0
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    return np.flatnonzero(sliding(padded, width, np.maximum, 0)[: len(h)] == h)
+        own[max(0, lo + 2 * p) : max(0, hi - length + 1)] = 0
+    for end in inner:
+        own[max(0, end - length + 1) : end] = 0
+    return np.flatnonzero(sliding(least, width, np.maximum) == h)
 
 
-def keys_of(data: bytes, at: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the KEY bytes from each position; 0 where there aren't so many."""
+def keys_of(data: bytes, at: np.ndarray, ends: np.ndarray | int) -> np.ndarray:
+    """A 64-bit hash of the KEY bytes from each position; 0 where its text, which ends at `ends`, hasn't so many."""
     out = np.zeros(len(at), np.int64)
-    fit = np.flatnonzero((at >= 0) & (at <= len(data) - KEY))
+    fit = np.flatnonzero(at <= ends - KEY)
     if not len(fit):
         return out
     words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
@@ -98,6 +123,15 @@ def keys_of(data: bytes, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def agreement(a: bytes, b: bytes) -> int:
+    """The length of the common prefix."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    differ = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
+    return n - 1 - (differ.bit_length() - 1) // 8
+
+
 def blind_trie(rows: np.ndarray, lengths: np.ndarray, which: list[int], depth: int) -> list[int]:
     """`which`, sorted by the bytes from `depth` on; all agree before it. A row's end sorts before any byte."""
     of: dict[bytes, list[int]] = {}
@@ -112,12 +146,7 @@ def blind_trie(rows: np.ndarray, lengths: np.ndarray, which: list[int], depth: i
         while isinstance(node, tuple):
             d, children = node
             node = children.get(own[d] if d < n else -1) or next(iter(children.values()))
-        d, end = 0, min(len(node), n)
-        while d < end and node[d : d + 32] == own[d : d + 32]:
-            d += 32
-        d = min(d, end)
-        while d < end and node[d] == own[d]:
-            d += 1
+        d = agreement(node, own)
         other, mine = node[d] if d < len(node) else -1, own[d] if d < n else -1
         parent, node = None, root
         while isinstance(node, tuple) and node[0] < d:

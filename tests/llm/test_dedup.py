@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from lakeloom.llm import near_dedup, substring_dedup, suffix_sort
 from lakeloom.llm.components import connected
@@ -157,6 +158,33 @@ def test_repeats_empty(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_at_the_ends_of_texts(spark):
+    """Texts that lie side by side in a batch: what goes on from one into the next is no string of either."""
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefghij é") for _ in range(n))
+    passage = noise(330)
+    texts = [noise(90) + "=" * 450, "=" * 450 + noise(60), noise(50) + "-" * 199, "-" * 199 + noise(50), passage[:170] + noise(120), noise(120) + passage[:260], passage[60:], "+*" * 300, "+*" * 300, noise(99), None, "*" * 199]
+    rows = list(enumerate(texts)) + [(50, noise(70) + passage[:199]), (51, passage[199:] + noise(150))]
+    got = remove_repeats(frame(spark, rows).coalesce(1)).collect()
+    assert Counter(map(tuple, got)) == brute_repeats(rows, 200)
+
+
+def test_texts_of_a_batch_are_worked_on_together(monkeypatch):
+    """Many short texts cost NumPy calls by their bytes, not by their number, and have the anchors that each has alone."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcd") for _ in range(rng.randrange(500))) for _ in range(200)] + ["x" * 900, "x" * 700, "", "ab" * 450, "z" * 200]
+    alone = [(i, p) for i, t in enumerate(texts) for p in suffix_sort.anchors(t.encode(), 200).tolist()]
+    calls, real = [], suffix_sort.segment_anchors
+    monkeypatch.setattr(suffix_sort, "segment_anchors", lambda *a: calls.append(1) or real(*a))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["_ref", "_text"])
+    for segment in (1 << 20, 777):
+        monkeypatch.setattr(suffix_sort, "SEGMENT", segment)
+        got = [(r["_ref"], r["_pos"]) for b in substring_dedup.anchored(iter([batch]), 200) for r in b.to_pylist()]
+        assert got == alone
+        if segment > 777:
+            assert len(calls) == 1
+
+
 def test_deep_shallow():
     rng = random.Random(2)
     texts = [("p" * 70 + "".join(rng.choice("ab") for _ in range(rng.randrange(40)))).encode() for _ in range(200)] + [b"", b"a", b"p" * 70, b"a"]
